@@ -15,7 +15,7 @@ def two_digits(column: str) -> Column:
 
 def twelve_digits(column: str) -> Column:
     """Up to twelve decimals, without separators or trailing zeros."""
-    return F.format_number(F.col(column), "#.############")
+    return F.call_function("format_number", F.col(column), F.lit("#.############"))
 
 
 def with_formatted(df: DataFrame, columns: Iterable[str], digits: int = 2) -> DataFrame:

@@ -25,23 +25,19 @@ def rolling_history(means: DataFrame, symbol: str, start=None, end=None) -> Data
     return _newest_first(means, symbol, "end_time", start, end)
 
 
-def last_snapshot(board: DataFrame, snapshot: str = "snapshot_id") -> DataFrame:
-    """The rows of the newest snapshot of a board table."""
-    newest = board.agg(F.max(snapshot)).scalar()
-    return board.where(F.col(snapshot) == newest)
+def winners_view(snapshot: DataFrame) -> DataFrame:
+    """One snapshot of the winners, biggest gain first."""
+    return snapshot.orderBy(F.col("percent_change").desc_nulls_last(), "name_coin")
 
 
-def winners_view(board: DataFrame) -> DataFrame:
-    return last_snapshot(board).orderBy(F.col("percent_change").desc_nulls_last(), "name_coin")
+def losers_view(snapshot: DataFrame) -> DataFrame:
+    """One snapshot of the losers, biggest loss first."""
+    return snapshot.orderBy(F.col("percent_change").asc_nulls_last(), "name_coin")
 
 
-def losers_view(board: DataFrame) -> DataFrame:
-    """Biggest loss first."""
-    return last_snapshot(board).orderBy(F.col("percent_change").asc_nulls_last(), "name_coin")
-
-
-def share_view(board: DataFrame) -> DataFrame:
-    return last_snapshot(board).orderBy(F.col("percent_market_cap").desc_nulls_last(), "name_coin")
+def share_view(snapshot: DataFrame) -> DataFrame:
+    """One snapshot of the market shares, biggest share first."""
+    return snapshot.orderBy(F.col("percent_market_cap").desc_nulls_last(), "name_coin")
 
 
 def bar_lookup(bars: DataFrame, name: str, grain: str, period: str) -> DataFrame:

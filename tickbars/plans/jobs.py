@@ -1,9 +1,10 @@
 """The batch and streaming jobs as commands, with every path a parameter.
 
-    spark-submit run_tickbars.py bars     --input 'bars/*.csv'   --output /tables --run 20240131
-    spark-submit run_tickbars.py summary  --input quotes.csv     --output /tables --run 20240131
-    spark-submit run_tickbars.py top-bars --input 'bars/*.csv'   --output /tables --run 20240131
-    spark-submit run_tickbars.py stream   --servers host:9092    --output /tables
+    spark-submit run_tickbars.py bars     --input 'bars/*.csv' --output /tables --run 20240131
+    spark-submit run_tickbars.py summary  --input quotes.csv   --output /tables --run 20240131
+    spark-submit run_tickbars.py top-bars --input 'bars/*.csv' --output /tables --run 20240131
+    spark-submit run_tickbars.py stream   --servers host:9092  --output /tables
+    spark-submit run_tickbars.py compact  --output /tables     --table crypto_rolling_means
 """
 
 from __future__ import annotations
@@ -21,65 +22,93 @@ from tickbars.sinks.keyed import KeyedTable
 from tickbars.sources import bars as bar_source
 from tickbars.sources.ticks import read_topic_stream
 from tickbars.streaming import landing, queries
+from tickbars.streaming.queries import Table, open_table
 
 
-def _store(result: DataFrame, contract: ResultTable, root: str, run_id: int) -> KeyedTable:
-    table = KeyedTable.like(result, contract, f"{root.rstrip('/')}/{contract.name}")
+def _store(result: DataFrame, contract: ResultTable, root: str, run_id: int, store: str) -> Table:
+    table = open_table(result, contract, root, store)
     table.write_batch(result, run_id)
     return table
 
 
-def bar_rollups(spark: SparkSession, paths, root: str, run_id: int) -> tuple[KeyedTable, KeyedTable]:
-    """Month and year bars of all assets from one read of the files: years are put together from the months."""
+def bar_rollups(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> tuple[Table, Table]:
+    """Month and year bars of all assets from one read of the files: years are put together from the months.
+
+    The sequence number of a bar file is its row number, so (Name, Date, SNo) identifies a bar.
+    """
     bars = bar_source.read_bars(use_utc(spark), paths)
     months = rollups.period_base(bars, "month", unique_sequence=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        month_table = _store(rollups.labelled(months, "month"), schemas.MONTH_BARS, root, run_id)
+        month_table = _store(rollups.labelled(months, "month"), schemas.MONTH_BARS, root, run_id, store)
         years = rollups.labelled(rollups.year_base_from_months(months), "year")
-        return month_table, _store(years, schemas.YEAR_BARS, root, run_id)
+        return month_table, _store(years, schemas.YEAR_BARS, root, run_id, store)
     finally:
         months.unpersist()
 
 
-def asset_summary(spark: SparkSession, paths, root: str, run_id: int) -> KeyedTable:
+def asset_summary(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> Table:
     result = rollups.asset_summary(bar_source.read_quotes(use_utc(spark), paths))
-    return _store(result, schemas.ASSET_SUMMARY, root, run_id)
+    return _store(result, schemas.ASSET_SUMMARY, root, run_id, store)
 
 
-def top_bars(spark: SparkSession, paths, root: str, run_id: int) -> KeyedTable:
+def top_bars(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> Table:
     result = ranking.top_bars(bar_source.read_bars(use_utc(spark), paths))
-    return _store(result, schemas.TOP_MARKETCAP, root, run_id)
-
-
-def tick_stream(spark: SparkSession, servers: str, topic: str, root: str, state_partitions: int | None = None) -> None:
+    return _store(result, schemas.TOP_MARKETCAP, root, run_id, store)
+
+
+def tick_stream(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    root: str,
+    *,
+    state_partitions: int | None = None,
+    store: str = "files",
+) -> None:
     """Land the topic once, run the five queries on the landed ticks, and end when any of them does."""
     session = streaming_session(spark, state_partitions=state_partitions)
     landed = f"{root.rstrip('/')}/ticks"
     messages = read_topic_stream(session, servers, topic)
     started = [landing.land_ticks(messages, landed, f"{root.rstrip('/')}/ticks_checkpoint")]
-    results = queries.start_all(landing.read_landed_stream(session, landed), root)
+    results = queries.start_all(landing.read_landed_stream(session, landed), root, store=store)
     started += [query for _, query in results.values()]
     queries.await_any(session, started)
 
 
+def compact(spark: SparkSession, root: str, table: str) -> None:
+    """Compact one result table and drop what that replaces; a stream may go on writing to it meanwhile."""
+    contract = schemas.RESULT_TABLES[table]
+    stored = KeyedTable.open(use_utc(spark), contract, f"{root.rstrip('/')}/{contract.name}")
+    stored.compact(spark)
+    stored.drop_compacted(spark)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tickbars")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("bars", "summary", "top-bars"):
+    batch_jobs = {"bars": bar_rollups, "summary": asset_summary, "top-bars": top_bars}
+    for name in batch_jobs:
         command = commands.add_parser(name)
         command.add_argument("--input", nargs="+", required=True)
-        command.add_argument("--output", required=True)
         command.add_argument("--run", type=int, required=True, help="number of this run; repeating it replaces it")
     stream = commands.add_parser("stream")
     stream.add_argument("--servers", required=True)
     stream.add_argument("--topic", default=TOPIC)
-    stream.add_argument("--output", required=True)
     stream.add_argument("--state-partitions", type=int)
+    compaction = commands.add_parser("compact")
+    compaction.add_argument("--table", required=True, choices=sorted(schemas.RESULT_TABLES))
+    for name, command in commands.choices.items():
+        command.add_argument("--output", required=True)
+        if name != "compact":
+            command.add_argument("--store", choices=("files", "cassandra"), default="files")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tickbars {args.command}").getOrCreate()
     if args.command == "stream":
-        tick_stream(spark, args.servers, args.topic, args.output, args.state_partitions)
+        tick_stream(
+            spark, args.servers, args.topic, args.output, state_partitions=args.state_partitions, store=args.store
+        )
+    elif args.command == "compact":
+        compact(spark, args.output, args.table)
     else:
-        job = {"bars": bar_rollups, "summary": asset_summary, "top-bars": top_bars}[args.command]
-        job(spark, args.input, args.output, args.run)
+        batch_jobs[args.command](spark, args.input, args.output, args.run, args.store)

@@ -93,7 +93,7 @@ EXACT_MEAN = "cast(sum(cast(open as decimal(18,2))) as double) / count(*)"
 
 
 def windows(ticks: str, seconds: int, slide: int, harmonic: bool = False, where: str = "true") -> str:
-    extra = ", round(1 / avg(1 / cast(price as double)), 6) as harmonic_mean" if harmonic else ""
+    extra = ", round(1 / avg(1 / nullif(cast(price as double), 0)), 6) as harmonic_mean" if harmonic else ""
     return f"""{ticks},
 placed as (
   select symbol_coin, price,

@@ -243,7 +243,7 @@ def tick_rejects(spark, sf_dir):
     kind = F.pmod(F.get_json_object(value, "$.price_old").cast("double").cast("int"), F.lit(5))
     damaged = (
         F.when(kind == 1, F.regexp_replace(value, '"name_coin":"[^"]*",', ""))
-        .when(kind == 2, F.regexp_replace(value, r'"time_stamp":(\d+)', r'"time_stamp":${1}000'))
+        .when(kind == 2, F.regexp_replace(value, r'"time_stamp":(\d+)', r'"time_stamp":$1000'))
         .when(kind == 3, F.expr("left(value, length(value) - 20)"))
         .when(kind == 4, F.regexp_replace(value, r'"time_stamp":\d+', '"time_stamp":null'))
         .otherwise(value)
@@ -316,17 +316,17 @@ def stream_rolling_stats(spark, sf_dir):
 
 def stream_top_winners(spark, sf_dir):
     table = _run(spark, sf_dir, "top_winners")
-    return plain(lookups.winners_view(table.snapshots(spark)).drop("snapshot_id"))
+    return plain(lookups.winners_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
 def stream_top_losers(spark, sf_dir):
     table = _run(spark, sf_dir, "top_losers")
-    return plain(lookups.losers_view(table.snapshots(spark)).drop("snapshot_id"))
+    return plain(lookups.losers_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
 def stream_market_share(spark, sf_dir):
     table = _run(spark, sf_dir, "market_share")
-    return plain(lookups.share_view(table.snapshots(spark)).drop("snapshot_id"))
+    return plain(lookups.share_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
 def stream_all(spark, sf_dir):

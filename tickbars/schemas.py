@@ -190,3 +190,18 @@ TOP_MARKETCAP = ResultTable(
     ("market_cap", "name_coin"),
     "crypto_batch",
 )
+
+RESULT_TABLES: dict[str, ResultTable] = {
+    table.name: table
+    for table in (
+        REALTIME_PRICES,
+        ROLLING_MEANS,
+        MARKET_SHARE,
+        BIGGEST_WINNERS,
+        BIGGEST_LOSERS,
+        MONTH_BARS,
+        YEAR_BARS,
+        ASSET_SUMMARY,
+        TOP_MARKETCAP,
+    )
+}

@@ -1,20 +1,29 @@
-"""Pass-through of results to a keyed store and to the console."""
+"""Pass-through of results to an external keyed store, and previews on the console."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.schemas import ResultTable
 
 
-def write_cassandra(df: DataFrame, contract: ResultTable) -> None:
-    """Append to the store's table of the same name; needs the Cassandra connector on the class path.
+@dataclass(frozen=True)
+class CassandraTable:
+    """A result table in Cassandra; needs its connector on the class path.
 
-    The store itself keeps the last write of each primary key.
+    Appending there keeps the last write of each primary key, so a repeated batch changes nothing. Host and port are
+    session settings of the connector (``spark.cassandra.connection.host``, ``spark.cassandra.connection.port``).
     """
-    writer = df.select(*contract.columns).write.format("org.apache.spark.sql.cassandra").mode("append")
-    writer.option("keyspace", contract.keyspace).option("table", contract.name).save()
+
+    contract: ResultTable
+    checkpoint: str
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        writer = df.select(*self.contract.columns).write.format("org.apache.spark.sql.cassandra").mode("append")
+        writer.option("keyspace", self.contract.keyspace).option("table", self.contract.name).save()
 
 
 def preview(df: DataFrame, rows: int = 20) -> None:

@@ -18,12 +18,16 @@ from tickbars.schemas import ResultTable
 BATCH = "batch_id"
 
 
+def _file_system(spark: SparkSession, folder: str):
+    """Spark's own file system client, so that any store Spark can write works here too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _committed(spark: SparkSession, folder: str) -> list[int]:
     """Batch numbers under ``folder`` whose write was committed; reads the folder listing only."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    markers = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BATCH}=*/_SUCCESS"))
-    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in markers or [])
+    path, fs = _file_system(spark, f"{folder}/{BATCH}=*/_SUCCESS")
+    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in fs.globStatus(path) or [])
 
 
 @dataclass(frozen=True)
@@ -39,6 +43,14 @@ class KeyedTable:
         """The table for results shaped like ``df``."""
         return cls(contract, path.rstrip("/"), df.select(*contract.columns).schema)
 
+    @classmethod
+    def open(cls, spark: SparkSession, contract: ResultTable, path: str) -> KeyedTable:
+        """An existing table, its types taken from its newest batch."""
+        path = path.rstrip("/")
+        newest = _committed(spark, f"{path}/log")[-1]
+        stored = spark.read.parquet(f"{path}/log/{BATCH}={newest}")
+        return cls.like(stored, contract, path)
+
     @property
     def checkpoint(self) -> str:
         """A stream's progress lives with its table: batch numbers of one mean nothing beside the other's."""
@@ -96,6 +108,23 @@ class KeyedTable:
         rows.write.mode("overwrite").parquet(f"{self.path}/compacted/{BATCH}={batches[-1]}")
         return batches[-1]
 
+    def drop_compacted(self, spark: SparkSession) -> None:
+        """Delete what the newest compacted folder has replaced, keeping the last batch as the current snapshot.
+
+        For maintenance windows: a query that is still reading an older state of the table would miss its files.
+        """
+        last = self._last_compacted(spark)
+        for kind in ("log", "compacted"):
+            for batch in _committed(spark, f"{self.path}/{kind}"):
+                if batch < last:
+                    path, fs = _file_system(spark, f"{self.path}/{kind}/{BATCH}={batch}")
+                    fs.delete(path, True)
+
     def snapshots(self, spark: SparkSession) -> DataFrame:
         """Rows of a board table with the batch that emitted them as ``snapshot_id``."""
         return self.log(spark).withColumnRenamed(BATCH, "snapshot_id")
+
+    def last_snapshot(self, spark: SparkSession) -> DataFrame:
+        """The board as its newest batch left it; reads that batch alone."""
+        newest = _committed(spark, f"{self.path}/log")[-1:]
+        return self._read(spark, "log", newest).withColumnRenamed(BATCH, "snapshot_id")

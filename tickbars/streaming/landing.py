@@ -47,9 +47,15 @@ def land_ticks(messages: DataFrame, path: str, checkpoint: str, **trigger) -> St
     return writer.trigger(**(trigger or {"processingTime": "15 seconds"})).start()
 
 
-def read_landed_stream(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
-    """Accepted ticks of the landing folder as a stream."""
-    reader = spark.readStream.schema(LANDED)
+def read_landed_stream(
+    spark: SparkSession, path: str, *, files_per_batch: int | None = None, max_file_age: str = "30d"
+) -> DataFrame:
+    """Accepted ticks of the landing folder as a stream.
+
+    A query that was down for longer than ``max_file_age`` while landing went on would miss the files before that, so
+    it is well above Spark's default of a week; what it costs is one remembered path per file on the driver.
+    """
+    reader = spark.readStream.schema(LANDED).option("maxFileAge", max_file_age)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path).where(~F.col("rejected")).select(*TICK.fieldNames())

@@ -12,8 +12,11 @@ from tickbars.operators import boards
 from tickbars.operators.live import live_prices, with_metrics
 from tickbars.operators.rolling import rolling_stats
 from tickbars.schemas import SLIDE_DURATION, WATERMARK, WINDOW_DURATION, ResultTable
+from tickbars.sinks.external import CassandraTable
 from tickbars.sinks.keyed import KeyedTable
 
+Table = KeyedTable | CassandraTable
+
 
 def rolling_stream(
     ticks: DataFrame,
@@ -36,24 +39,35 @@ QUERIES: dict[str, tuple[Callable[[DataFrame], DataFrame], ResultTable, str]] =
 }
 
 
-def upsert_stream(df: DataFrame, table: KeyedTable, output_mode: str, **trigger) -> StreamingQuery:
+def upsert_stream(df: DataFrame, table: Table, output_mode: str, **trigger) -> StreamingQuery:
     """Write every micro-batch to ``table`` under its batch number: a batch repeated after a failure replaces itself."""
     writer = df.writeStream.queryName(table.contract.name).outputMode(output_mode)
     writer = writer.option("checkpointLocation", table.checkpoint).foreachBatch(table.write_batch)
     return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
 
 
-def start_query(name: str, ticks: DataFrame, root: str, **trigger) -> tuple[KeyedTable, StreamingQuery]:
-    """Start one of ``QUERIES`` on a tick stream, with its table and checkpoint under ``root``."""
+def start_query(
+    name: str, ticks: DataFrame, root: str, *, store: str = "files", **trigger
+) -> tuple[Table, StreamingQuery]:
+    """Start one of ``QUERIES`` on a tick stream, with its progress and (``store="files"``) its table under ``root``."""
     compute, contract, mode = QUERIES[name]
     result = compute(ticks)
-    table = KeyedTable.like(result, contract, f"{root.rstrip('/')}/{contract.name}")
+    table = open_table(result, contract, root, store)
     return table, upsert_stream(result, table, mode, **trigger)
 
 
-def start_all(ticks: DataFrame, root: str, **trigger) -> dict[str, tuple[KeyedTable, StreamingQuery]]:
-    """Start all five on one landed tick stream; they share nothing else and fail or restart on their own."""
-    return {name: start_query(name, ticks, root, **trigger) for name in QUERIES}
+def open_table(result: DataFrame, contract: ResultTable, root: str, store: str) -> Table:
+    folder = f"{root.rstrip('/')}/{contract.name}"
+    if store == "files":
+        return KeyedTable.like(result, contract, folder)
+    if store == "cassandra":
+        return CassandraTable(contract, f"{folder}/checkpoint")
+    raise ValueError(f"store must be 'files' or 'cassandra', not {store!r}")
+
+
+def start_all(ticks: DataFrame, root: str, **options) -> dict[str, tuple[Table, StreamingQuery]]:
+    """Start all five on one landed tick stream; they share nothing else and restart on their own."""
+    return {name: start_query(name, ticks, root, **options) for name in QUERIES}
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
