@@ -59,3 +59,9 @@ def test_plan(spark):
     text = plan(boards.top_winners(metrics(spark, DATA)))
     assert "TakeOrderedAndProject" in text and "SortAggregate" not in text
     assert text.count("Exchange") == 1
+
+
+def test_ranked_winners_keep_ties(spark):
+    df = metrics(spark, DATA + [("e", 1, 1.0, -7.0, 1.0, 1.0)])
+    assert sorted(names(boards.ranked_winners(df, 1))) == ["a", "b"]
+    assert sorted(names(boards.ranked_winners(df, 3))) == ["a", "b", "d", "e"]

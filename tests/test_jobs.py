@@ -34,6 +34,13 @@ def test_commands(spark, tmp_path):
     assert table(spark, schemas.ASSET_SUMMARY, out) == [("Alpha", 3.0, 2.0, 4.0, 10.0)]
     assert max(r[-1] for r in table(spark, schemas.TOP_MARKETCAP, out)) == 900.0
 
+    landed, again = str(tmp_path / "landed"), str(tmp_path / "again")
+    jobs.main(["land", "--input", *paths, "--output", landed])
+    for command in ("bars", "top-bars"):
+        jobs.main([command, "--input", landed, "--landed", "--output", again, "--run", "1"])
+    for contract in (schemas.MONTH_BARS, schemas.YEAR_BARS, schemas.TOP_MARKETCAP):
+        assert table(spark, contract, again) == table(spark, contract, out)
+
     jobs.main(["compact", "--output", out, "--table", "crypto_month_agg"])
     assert table(spark, schemas.MONTH_BARS, out) == months
 

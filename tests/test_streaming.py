@@ -61,8 +61,9 @@ def land_in(spark, folder, messages, files):
         land(spark, folder, *messages[i : i + size])
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_stream_equals_batch(spark, session, tmp_path, files):
+@pytest.mark.parametrize(("files", "rocksdb"), [(1, False), (4, False), (4, True)])
+def test_stream_equals_batch(spark, tmp_path, files, rocksdb):
+    session = streaming_session(spark, state_partitions=2, rocksdb=rocksdb)
     folder = str(tmp_path / "in")
     land_in(spark, folder, sample(), files)
     ticks = parse_ticks(read_message_files(spark, folder))
@@ -220,7 +221,7 @@ def test_unknown_store(session, tmp_path, spark):
 
 def test_session_settings_do_not_reach_the_caller(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    other = streaming_session(spark, state_partitions=3)
+    other = streaming_session(spark, state_partitions=3, rocksdb=True)
     assert other.conf.get("spark.sql.shuffle.partitions") == "3"
     assert "RocksDB" in other.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before

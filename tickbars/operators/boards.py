@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickbars.operators.ranking import top_ranked
 from tickbars.schemas import BOARD_SIZE
 
 
@@ -52,3 +53,8 @@ def top_losers(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> Da
 
 def market_share(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:
     return _board(shares(metrics, pick), F.col("percent_market_cap").desc_nulls_last(), n)
+
+
+def ranked_winners(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:
+    """Coins whose rank by change is at most ``n``, ties included; on a stream, for use inside a micro-batch."""
+    return top_ranked(leaders(metrics, pick), "percent_change", n)

@@ -1,8 +1,9 @@
 """The batch and streaming jobs as commands, with every path a parameter.
 
+    spark-submit run_tickbars.py land     --input 'bars/*.csv' --output /landed/bars
     spark-submit run_tickbars.py bars     --input 'bars/*.csv' --output /tables --run 20240131
     spark-submit run_tickbars.py summary  --input quotes.csv   --output /tables --run 20240131
-    spark-submit run_tickbars.py top-bars --input 'bars/*.csv' --output /tables --run 20240131
+    spark-submit run_tickbars.py top-bars --input /landed/bars --landed --output /tables --run 20240131
     spark-submit run_tickbars.py stream   --servers host:9092  --output /tables
     spark-submit run_tickbars.py compact  --output /tables     --table crypto_rolling_means
 """
@@ -25,19 +26,34 @@ from tickbars.streaming import landing, queries
 from tickbars.streaming.queries import Table, open_table
 
 
+def _bars(spark: SparkSession, paths, landed: bool) -> DataFrame:
+    """Bars from CSV files, or from what ``land`` made of them: parquet that is parsed no more than once."""
+    read = bar_source.read_landed_bars if landed else bar_source.read_bars
+    return read(use_utc(spark), paths)
+
+
 def _store(result: DataFrame, contract: ResultTable, root: str, run_id: int, store: str) -> Table:
     table = open_table(result, contract, root, store)
     table.write_batch(result, run_id)
     return table
 
 
-def bar_rollups(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> tuple[Table, Table]:
+def bar_rollups(
+    spark: SparkSession,
+    paths,
+    root: str,
+    run_id: int,
+    store: str = "files",
+    landed: bool = False,
+    unique_sequence: bool = True,
+) -> tuple[Table, Table]:
     """Month and year bars of all assets from one read of the files: years are put together from the months.
 
-    The sequence number of a bar file is its row number, so (Name, Date, SNo) identifies a bar.
+    A bar file has one numbered row per day, so (Name, Date, SNo) identifies a bar. For files that repeat it,
+    ``unique_sequence=False`` settles first and last by price.
     """
-    bars = bar_source.read_bars(use_utc(spark), paths)
-    months = rollups.period_base(bars, "month", unique_sequence=True).persist(StorageLevel.MEMORY_AND_DISK)
+    bars = _bars(spark, paths, landed)
+    months = rollups.period_base(bars, "month", unique_sequence=unique_sequence).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         month_table = _store(rollups.labelled(months, "month"), schemas.MONTH_BARS, root, run_id, store)
         years = rollups.labelled(rollups.year_base_from_months(months), "year")
@@ -51,8 +67,11 @@ def asset_summary(spark: SparkSession, paths, root: str, run_id: int, store: str
     return _store(result, schemas.ASSET_SUMMARY, root, run_id, store)
 
 
-def top_bars(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> Table:
-    result = ranking.top_bars(bar_source.read_bars(use_utc(spark), paths))
+def top_bars(
+    spark: SparkSession, paths, root: str, run_id: int, store: str = "files", landed: bool = False
+) -> Table:
+    """The highest bars. Their value is looked up first, so the input is read twice: land large CSV inputs."""
+    result = ranking.top_bars(_bars(spark, paths, landed))
     return _store(result, schemas.TOP_MARKETCAP, root, run_id, store)
 
 
@@ -87,9 +106,17 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tickbars")
     commands = parser.add_subparsers(dest="command", required=True)
     batch_jobs = {"bars": bar_rollups, "summary": asset_summary, "top-bars": top_bars}
-    for name in batch_jobs:
+    for name in ("land", *batch_jobs):
         command = commands.add_parser(name)
         command.add_argument("--input", nargs="+", required=True)
+        if name == "land":
+            continue
+        if name != "summary":
+            command.add_argument("--landed", action="store_true", help="the input is parquet made by 'land'")
+        if name == "bars":
+            command.add_argument(
+                "--repeated-sequence", action="store_true", help="(Name, Date, SNo) may occur more than once"
+            )
         command.add_argument("--run", type=int, required=True, help="number of this run; repeating it replaces it")
     stream = commands.add_parser("stream")
     stream.add_argument("--servers", required=True)
@@ -99,7 +126,7 @@ def main(argv: list[str] | None = None) -> None:
     compaction.add_argument("--table", required=True, choices=sorted(schemas.RESULT_TABLES))
     for name, command in commands.choices.items():
         command.add_argument("--output", required=True)
-        if name != "compact":
+        if name not in ("land", "compact"):
             command.add_argument("--store", choices=("files", "cassandra"), default="files")
     args = parser.parse_args(argv)
 
@@ -108,7 +135,12 @@ def main(argv: list[str] | None = None) -> None:
         tick_stream(
             spark, args.servers, args.topic, args.output, state_partitions=args.state_partitions, store=args.store
         )
+    elif args.command == "land":
+        bar_source.land_bars(use_utc(spark), args.input, args.output)
     elif args.command == "compact":
         compact(spark, args.output, args.table)
     else:
-        batch_jobs[args.command](spark, args.input, args.output, args.run, args.store)
+        options = {"landed": args.landed} if "landed" in args else {}
+        if args.command == "bars":
+            options["unique_sequence"] = not args.repeated_sequence
+        batch_jobs[args.command](spark, args.input, args.output, args.run, args.store, **options)

@@ -56,14 +56,27 @@ with bars as (
 )
 """
 
+DAILY = f"""{BARS.rstrip()[:-1]}
+),
+days as (
+  select cast(date - date '1970-01-01' as integer) as sno,
+         name, min(symbol) as symbol, date, max(high) as high, min(low) as low,
+         arg_min(open, struct_pack(b := sno, c := open, d := close)) as open,
+         arg_max(close, struct_pack(b := sno, c := open, d := close)) as close,
+         sum(volume) as volume,
+         cast(sum(cast(market_cap as decimal(18,2))) as double) as market_cap
+  from bars group by name, date
+)
+"""
+
 LIVE_COLUMNS = """
   name_coin, symbol_coin, cast(volume as double) as volume, cast(market_cap as double) as market_cap,
   cir_supply, cast(price as double) as price, percent_change, percent_volume, percent_market_cap, time_stamp
 """
 
 
-def bars_by(grain: str, label: str, where: str = "true") -> str:
-    return f"""{BARS}
+def bars_by(grain: str, label: str, where: str = "true", source: str = "bars") -> str:
+    return f"""{BARS if source == "bars" else DAILY}
 select name, strftime(date, '{label}') as "{grain}",
        max(high) as highest_high,
        min(low) as lowest_low,
@@ -71,14 +84,14 @@ select name, strftime(date, '{label}') as "{grain}",
        arg_max(close, struct_pack(a := date, b := sno, c := open, d := close)) as last_close,
        round(cast(sum(cast(volume as decimal(18,2))) as double), 2) as total_volume,
        round(cast(sum(cast(market_cap as decimal(18,2))) as double), 2) as total_marketcap
-from bars where {where} group by all
+from {source} where {where} group by all
 """
 
 
-def top_bars(by: str) -> str:
-    return f"""{BARS}
+def top_bars(by: str, source: str = "bars") -> str:
+    return f"""{BARS if source == "bars" else DAILY}
 select name as name_coin, symbol as symbol_coin, date, high, low, open, close, volume, market_cap
-from (select *, rank() over (order by {by} desc) as r from bars) where r <= 10
+from (select *, rank() over (order by {by} desc) as r from {source}) where r <= 10
 """
 
 
@@ -168,6 +181,8 @@ ORACLE: dict[str, str] = {
     "bars_by_month": bars_by("month", "%Y-%m"),
     "bars_by_year": bars_by("year", "%Y"),
     "bars_by_year_from_months": bars_by("year", "%Y"),
+    "daily_bars_by_month": bars_by("month", "%Y-%m", source="days"),
+    "daily_bars_by_year": bars_by("year", "%Y", source="days"),
     "month_bar_lookup": bars_by("month", "%Y-%m", "name = 'S7' and strftime(date, '%Y-%m') = '1998-06'"),
     "year_bar_lookup": bars_by("year", "%Y", "name = 'S7' and strftime(date, '%Y') = '1998'"),
     "asset_summary": summary(EXACT_MEAN),
@@ -178,15 +193,15 @@ from bars group by name
 """,
     "top_bars": top_bars("market_cap"),
     "top_bars_by_volume": top_bars("volume"),
-    "csv_bars": f"""{BARS}
-select name as "Name", symbol as "Symbol", date as "Date", high as "High", low as "Low", open as "Open",
-       close as "Close", volume as "Volume", market_cap as "Marketcap" from bars
+    "csv_bars": f"""{DAILY}
+select sno as "SNo", name as "Name", symbol as "Symbol", date as "Date", high as "High", low as "Low",
+       open as "Open", close as "Close", volume as "Volume", market_cap as "Marketcap" from days
 """,
-    "job_month_bars": bars_by("month", "%Y-%m"),
-    "job_year_bars": bars_by("year", "%Y"),
+    "job_month_bars": bars_by("month", "%Y-%m", source="days"),
+    "job_year_bars": bars_by("year", "%Y", source="days"),
     "job_asset_summary": summary(f"round({EXACT_MEAN}, 6)"),
     "job_top_bars": f"""
-with ranked as ({top_bars("market_cap")})
+with ranked as ({top_bars("market_cap", "days")})
 select * exclude (r) from (
   select *, row_number() over (
     partition by market_cap, name_coin
@@ -220,6 +235,15 @@ order by time_stamp desc
     "rolling_history": windows(EXACT, 300, 30, where="symbol_coin = 'click'") + "order by end_time desc",
     "top_winners": leaders(EXACT, "desc"),
     "top_losers": leaders(EXACT, "asc"),
+    "ranked_winners": f"""{EXACT}
+select * exclude (r) from (
+  select *, rank() over (order by percent_change desc) as r from (
+    select name_coin, max(time_stamp) as time_stamp, cast(max(price) as double) as price,
+           max(percent_change) as percent_change
+    from metrics group by name_coin
+  ) where percent_change is not null
+) where r <= 10
+""",
     "market_share": share(EXACT),
     "latest_winners": newest_of_coin(
         "cast(price as double) as price, percent_change", "price desc, percent_change desc nulls last"

@@ -78,6 +78,14 @@ def bars_by_year_from_months(spark, sf_dir):
     return _bars(rollups.labelled(rollups.year_base_from_months(months), "year"))
 
 
+def daily_bars_by_month(spark, sf_dir):
+    return _bars(rollups.bars_by_month(tables.daily_bars(spark, sf_dir), unique_sequence=True))
+
+
+def daily_bars_by_year(spark, sf_dir):
+    return _bars(rollups.bars_by_year(tables.daily_bars(spark, sf_dir), unique_sequence=True))
+
+
 def month_bar_lookup(spark, sf_dir):
     months = rollups.bars_by_month(tables.bars(spark, sf_dir))
     return _bars(lookups.bar_lookup(months, "S7", "month", "1998-06"))
@@ -105,18 +113,18 @@ def top_bars_by_volume(spark, sf_dir):
     return plain(ranking.top_bars(tables.bars(spark, sf_dir), by="Volume"))
 
 
-# Bars through CSV files: the table is written as CSV, header lines included, and goes through the whole batch job ------
+# Bars through CSV files: daily bars written as CSV, header lines included, go through the whole batch job --------------
 
 
 def _bar_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = f"{root}/csv"
-    tables.numbered_bars(spark, sf_dir).write.option("header", True).csv(path)
+    tables.daily_bars(spark, sf_dir).write.option("header", True).csv(path)
     return path
 
 
 def csv_bars(spark, sf_dir):
     bars = read_bars(spark, _bar_files(spark, sf_dir, work_dir(spark, "bars")))
-    return plain(bars.drop("SNo"))
+    return plain(bars)
 
 
 def job_month_bars(spark, sf_dir):
@@ -214,6 +222,10 @@ def top_losers(spark, sf_dir):
     return plain(boards.top_losers(_changes(spark, sf_dir)))
 
 
+def ranked_winners(spark, sf_dir):
+    return plain(boards.ranked_winners(_changes(spark, sf_dir)))
+
+
 def market_share(spark, sf_dir):
     return plain(boards.market_share(live.with_metrics(_ticks(spark, sf_dir))))
 
@@ -353,6 +365,8 @@ QUERIES: dict[str, Query] = {
         bars_by_month,
         bars_by_year,
         bars_by_year_from_months,
+        daily_bars_by_month,
+        daily_bars_by_year,
         month_bar_lookup,
         year_bar_lookup,
         asset_summary,
@@ -376,6 +390,7 @@ QUERIES: dict[str, Query] = {
         rolling_history,
         top_winners,
         top_losers,
+        ranked_winners,
         market_share,
         latest_winners,
         latest_market_share,

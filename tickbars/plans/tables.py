@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
+from tickbars.operators.live import with_daily_totals
 from tickbars.schemas import BAR
 
 # Ids of one payload document lie within a block of this size, which bounds its coins.
@@ -52,10 +52,19 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def numbered_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same bars with a sequence number that is unique per asset and day, and fits the bar schema's int."""
-    day = Window.partitionBy("Name", "Date").orderBy("SNo", "Open", "Close", "High", "Low")
-    return bars(spark, sf_dir).withColumn("SNo", F.row_number().over(day)).select(*BAR.fieldNames())
+def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bar per asset and day, as bar files have it; its sequence number is the day number."""
+    position = F.struct("SNo", "Open", "Close")
+    days = bars(spark, sf_dir).groupBy("Name", "Date").agg(
+        F.min("Symbol").alias("Symbol"),
+        F.max("High").alias("High"),
+        F.min("Low").alias("Low"),
+        F.min_by("Open", position).alias("Open"),
+        F.max_by("Close", position).alias("Close"),
+        F.sum("Volume").alias("Volume"),
+        F.round(F.sum("Marketcap"), 2).alias("Marketcap"),
+    )
+    return days.withColumn("SNo", F.unix_date("Date")).select(*BAR.fieldNames())
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +78,6 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Ids are unique, so no document collects more than ``COINS_PER_PAYLOAD`` coins whatever the size of the table.
     """
-    from tickbars.operators.live import with_daily_totals
-
     rows = with_daily_totals(ticks(spark, sf_dir))
     block = F.floor(F.col("id").cast("long") / COINS_PER_PAYLOAD)
     # Short price trends of zero, one and two points take every branch of the old-price rule.

@@ -31,16 +31,19 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 
 def streaming_session(
-    spark: SparkSession, *, state_partitions: int | None = None, rocksdb: bool = True
+    spark: SparkSession, *, state_partitions: int | None = None, rocksdb: bool | None = None
 ) -> SparkSession:
     """A sibling session for streaming queries, leaving the caller's settings alone.
 
     A stateful query keeps the shuffle partition count of its first start for its whole life, so it is chosen here: size
-    it for the cluster (a few per core), not for the first batch. RocksDB keeps state off the JVM heap.
+    it for the cluster (a few per core), not for the first batch. RocksDB keeps state off the JVM heap and is the choice
+    wherever executors are processes of their own; a local master keeps Spark's default store unless told otherwise.
     """
     session = use_utc(spark.newSession())
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if rocksdb is None:
+        rocksdb = not spark.sparkContext.master.startswith("local[")
     if rocksdb:
         session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")

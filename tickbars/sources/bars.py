@@ -28,7 +28,11 @@ def read_bars(spark: SparkSession, paths: Paths) -> DataFrame:
 def land_bars(spark: SparkSession, paths: Paths, target: str) -> DataFrame:
     """Store the complete bars as parquet once, so that every later job prunes columns and skips row groups."""
     read_bars(spark, paths).write.mode("overwrite").parquet(target)
-    return spark.read.schema(BAR).parquet(target)
+    return read_landed_bars(spark, target)
+
+
+def read_landed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
+    return spark.read.schema(BAR).parquet(*([paths] if isinstance(paths, str) else paths))
 
 
 def read_quotes(spark: SparkSession, paths: Paths) -> DataFrame:
