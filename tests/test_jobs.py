@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 
 from tickbars import schemas
@@ -50,3 +51,17 @@ def test_a_glob_is_one_read(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text(BARS.replace("Alpha", name))
     months, years = jobs.bar_rollups(spark, str(tmp_path / "*.csv"), str(tmp_path / "out"), 7)
     assert (months.latest(spark).count(), years.latest(spark).count()) == (9, 6)
+
+
+def test_repeated_sequence_numbers_are_settled_by_price(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(BARS + "1,Alpha,ALP,2020-12-31,5,1,1.5,9,10,100\n")
+    out = str(tmp_path / "out")
+    jobs.main(["bars", "--input", str(tmp_path / "a.csv"), "--output", out, "--run", "1", "--repeated-sequence"])
+    december = [r for r in table(spark, schemas.MONTH_BARS, out) if r[1] == "2020-12"]
+    assert december == [("Alpha", "2020-12", 5.0, 1.0, 1.5, 3.0, 20.0, 200.0)]
+
+
+def test_stream_command_needs_the_kafka_package(spark, tmp_path):
+    command = ["stream", "--servers", "localhost:1", "--output", str(tmp_path), "--option", "startingOffsets=earliest"]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.main(command)

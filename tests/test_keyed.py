@@ -2,6 +2,7 @@ import os
 
 import pytest
 from conftest import plan, rows
+from pyspark.sql import functions as F
 
 from tickbars.schemas import ResultTable
 from tickbars.sinks.external import CassandraTable, preview
@@ -88,6 +89,27 @@ def test_a_compaction_that_died_is_ignored(spark, table):
     assert rows(table.latest(spark)) == [("a", 1, 1)]
 
 
+def test_null_in_a_key_is_a_key_of_its_own(spark, table):
+    table.write_batch(batch(spark, (1, "a", "", None), (2, "a", "", 1)), 0)
+    table.compact(spark)
+    table.write_batch(batch(spark, (3, "a", "", None)), 1)
+    assert rows(table.latest(spark)) == [("a", 1, 2), ("a", None, 3)]
+
+
+def test_lookups_reach_the_scans(spark, table):
+    table.write_batch(batch(spark, *[(i, "ab"[i % 2], "", i) for i in range(20)]), 0)
+    table.compact(spark)
+    table.write_batch(batch(spark, (99, "a", "", 4)), 1)
+    found = table.latest(spark, (F.col("k") == "a") & F.col("p").between(4, 7))
+    scans = [line for line in plan(found).splitlines() if "FileScan" in line]
+    assert rows(found) == [("a", 4, 99), ("a", 6, 6)]
+    assert len(scans) == 3
+    for scan in scans:
+        assert "EqualTo(k,a)" in scan and "GreaterThanOrEqual(p,4)" in scan and "LessThanOrEqual(p,7)" in scan
+    with pytest.raises(Exception, match="v"):
+        table.latest(spark, F.col("v") == 1)
+
+
 def test_last_snapshot(spark, table):
     table.write_batch(batch(spark, (1, "a", "", 1), (2, "b", "", 1)), 0)
     table.write_batch(batch(spark, (3, "c", "", 1)), 1)
@@ -111,3 +133,14 @@ def test_work_folder_follows_the_session(spark):
 
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tickbars.session import work_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(cluster, "x")

@@ -211,6 +211,18 @@ def test_a_failing_query_stops_the_others_and_is_raised(spark, session, tmp_path
     assert not healthy.isActive and not broken.isActive
 
 
+def test_console_preview(spark, session, tmp_path):
+    from tickbars.sinks.external import preview_stream
+
+    folder = str(tmp_path / "in")
+    land(spark, folder, message("A", "10:00:00"))
+    query = preview_stream(landing.accepted_ticks(read_message_files_stream(session, folder)), str(tmp_path / "cp"))
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None
+    assert sum(p.numInputRows for p in query.recentProgress) == 1
+
+
 def test_unknown_store(session, tmp_path, spark):
     folder = str(tmp_path / "in")
     land(spark, folder, *sample(1))

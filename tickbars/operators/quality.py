@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def is_complete(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in columns])
+    return reduce(and_, [F.col(name).isNotNull() for name in columns])
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

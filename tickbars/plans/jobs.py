@@ -83,11 +83,12 @@ def tick_stream(
     *,
     state_partitions: int | None = None,
     store: str = "files",
+    source_options: dict[str, str] | None = None,
 ) -> None:
     """Land the topic once, run the five queries on the landed ticks, and end when any of them does."""
     session = streaming_session(spark, state_partitions=state_partitions)
     landed = f"{root.rstrip('/')}/ticks"
-    messages = read_topic_stream(session, servers, topic)
+    messages = read_topic_stream(session, servers, topic, source_options)
     started = [landing.land_ticks(messages, landed, f"{root.rstrip('/')}/ticks_checkpoint")]
     results = queries.start_all(landing.read_landed_stream(session, landed), root, store=store)
     started += [query for _, query in results.values()]
@@ -122,6 +123,7 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--servers", required=True)
     stream.add_argument("--topic", default=TOPIC)
     stream.add_argument("--state-partitions", type=int)
+    stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option of the topic reader")
     compaction = commands.add_parser("compact")
     compaction.add_argument("--table", required=True, choices=sorted(schemas.RESULT_TABLES))
     for name, command in commands.choices.items():
@@ -133,7 +135,13 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tickbars {args.command}").getOrCreate()
     if args.command == "stream":
         tick_stream(
-            spark, args.servers, args.topic, args.output, state_partitions=args.state_partitions, store=args.store
+            spark,
+            args.servers,
+            args.topic,
+            args.output,
+            state_partitions=args.state_partitions,
+            store=args.store,
+            source_options=dict(option.split("=", 1) for option in args.option),
         )
     elif args.command == "land":
         bar_source.land_bars(use_utc(spark), args.input, args.output)

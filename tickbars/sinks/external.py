@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tickbars.operators.quality import drop_incomplete
 from tickbars.schemas import ResultTable
 
 
@@ -14,15 +15,18 @@ from tickbars.schemas import ResultTable
 class CassandraTable:
     """A result table in Cassandra; needs its connector on the class path.
 
-    Appending there keeps the last write of each primary key, so a repeated batch changes nothing. Host and port are
-    session settings of the connector (``spark.cassandra.connection.host``, ``spark.cassandra.connection.port``).
+    Appending there keeps the last write of each primary key, so a repeated batch changes nothing. A row with a NULL in
+    its key, such as a board coin of unknown change, cannot be stored there and is left out rather than failing the
+    batch; ``KeyedTable`` keeps it. Host and port are session settings of the connector
+    (``spark.cassandra.connection.host``, ``spark.cassandra.connection.port``).
     """
 
     contract: ResultTable
     checkpoint: str
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        writer = df.select(*self.contract.columns).write.format("org.apache.spark.sql.cassandra").mode("append")
+        rows = drop_incomplete(df.select(*self.contract.columns), self.contract.keys)
+        writer = rows.write.format("org.apache.spark.sql.cassandra").mode("append")
         writer.option("keyspace", self.contract.keyspace).option("table", self.contract.name).save()
 
 

@@ -7,9 +7,10 @@ nothing, and only batches with Spark's commit marker are read. ``compacted/batch
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tickbars.operators.live import latest_per_key
@@ -77,22 +78,29 @@ class KeyedTable:
         """Every committed row with its batch, later versions of a key included."""
         return self._read(spark, "log", [b for b in _committed(spark, f"{self.path}/log") if b > after])
 
-    def latest(self, spark: SparkSession) -> DataFrame:
+    def latest(self, spark: SparkSession, key_filter: Column | None = None) -> DataFrame:
         """The newest row of each key, by batch and then by the row's own values.
 
         Compacted rows are unique already, so they only lose the keys that newer batches wrote again; while those
-        batches are few Spark sends their keys around instead of shuffling the compacted table.
+        batches are few Spark sends their keys around instead of shuffling the compacted table. ``key_filter``, a
+        condition on key columns, limits every scan involved; a condition on the result cannot reach all of them.
         """
-        return self._latest_with_batch(spark).drop(BATCH)
-
-    def _latest_with_batch(self, spark: SparkSession) -> DataFrame:
         keys = list(self.contract.keys)
+        if key_filter is not None:
+            # Filtering other columns before the newest row is known would bring back older rows: refuse to.
+            spark.createDataFrame([], T.StructType([self.schema[key] for key in keys])).where(key_filter)
+
+        def kept(rows: DataFrame) -> DataFrame:
+            return rows if key_filter is None else rows.where(key_filter)
+
         compacted = self._last_compacted(spark)
-        recent = latest_per_key(self.log(spark, after=compacted), keys, [BATCH])
+        recent = latest_per_key(kept(self.log(spark, after=compacted)), keys, [BATCH])
         if compacted < 0:
-            return recent
-        older = self._read(spark, "compacted", [compacted])
-        return older.join(recent.select(*keys), keys, "left_anti").select(*recent.columns).unionByName(recent)
+            return recent.drop(BATCH)
+        older, newer = kept(self._read(spark, "compacted", [compacted])), recent.select(*keys)
+        # Null-safe: a board may hold a coin whose change, a key column there, is unknown.
+        same_key = reduce(and_, [older[key].eqNullSafe(newer[key]) for key in keys])
+        return older.join(newer, same_key, "left_anti").select(*recent.columns).unionByName(recent).drop(BATCH)
 
     def compact(self, spark: SparkSession) -> int:
         """Write the table as of its last batch as one folder, ordered by key so that a lookup skips most files.

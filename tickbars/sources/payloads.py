@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ def flatten_payloads(payloads: DataFrame, body: str = "body", fetched_at: str =
         trend.isNotNull().alias("has_sparkline"),
     )
     needed = [F.col(name).isNotNull() for name in TICK.fieldNames()] + [F.col("has_sparkline")]
-    return ticks.withColumn("is_valid", reduce(lambda a, b: a & b, needed)).drop("has_sparkline")
+    return ticks.withColumn("is_valid", reduce(and_, needed)).drop("has_sparkline")
 
 
 def payload_ticks(payloads: DataFrame, **columns: str) -> DataFrame:
