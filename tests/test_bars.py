@@ -165,6 +165,13 @@ def test_summary_of_decimal_prices_is_exact_in_any_order(spark):
         assert rollups.asset_summary(quotes.repartition(n)).first().avg_price == 0.12
 
 
+def test_text_dates(spark):
+    data = [(i, "A", d, *[1.0] * 6) for i, d in enumerate(["2021-01-05", "2021-01-06 10:00:00", "soon", "2021-13-01"])]
+    bars = spark.createDataFrame(data, "SNo int, Name string, Date string, High double, Low double, Open double,"
+                                 "Close double, Volume double, Marketcap double")
+    assert [(r.month, r.total_volume) for r in rollups.bars_by_month(bars).collect()] == [("2021-01", 2.0)]
+
+
 def test_unknown_grain(spark):
     from tickbars.functions.calendar import period_start
 

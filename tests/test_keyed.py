@@ -1,4 +1,5 @@
 import os
+from random import Random
 
 import pytest
 from conftest import plan, rows
@@ -110,6 +111,25 @@ def test_lookups_reach_the_scans(spark, table):
         table.latest(spark, F.col("v") == 1)
 
 
+def test_any_history_equals_a_dictionary(spark, tmp_path):
+    """Random batches, repeats and compactions against the obvious model."""
+    random = Random(7)
+    for trial in range(4):
+        table = KeyedTable.like(batch(spark, (1, "a", "x", 1)), CONTRACT, str(tmp_path / f"t{trial}"))
+        model = {}
+        for number in range(6):
+            data = [(random.randrange(9), random.choice("abc"), "", random.randrange(3)) for _ in range(5)]
+            for _ in range(random.choice((1, 1, 2))):
+                table.write_batch(batch(spark, *data), number)
+            newest = {}
+            for v, k, _, p in data:
+                newest[k, p] = max(v, newest.get((k, p), v))
+            model |= newest
+            if random.random() < 0.4:
+                table.compact(spark)
+        assert rows(table.latest(spark)) == sorted(((k, p, v) for (k, p), v in model.items()), key=repr)
+
+
 def test_last_snapshot(spark, table):
     table.write_batch(batch(spark, (1, "a", "", 1), (2, "b", "", 1)), 0)
     table.write_batch(batch(spark, (3, "c", "", 1)), 1)

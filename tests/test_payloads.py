@@ -86,6 +86,14 @@ def test_documents_without_coins(spark, tmp_path, raw):
     assert payload_ticks(land(spark, tmp_path, raw=raw)).count() == 0
 
 
+def test_a_fetch_time_in_the_wrong_unit_rejects_the_poll(spark):
+    body = json.dumps({"data": {"stats": STATS, "coins": [COIN]}})
+    for seconds in (1715089953749, 2**62, -5, None):
+        payloads = spark.createDataFrame([(seconds, body)], "fetched_at long, body string")
+        assert payload_ticks(payloads).count() == 0
+        assert payload_rejects(payloads).count() == 1
+
+
 def test_flattening_shuffles_nothing(spark, tmp_path):
     assert "Exchange" not in plan(payload_ticks(land(spark, tmp_path, COIN)))
 

@@ -47,6 +47,14 @@ def test_values_and_zero_prices(spark):
     assert (only_zero.arithmetic_mean, only_zero.geometric_mean) == (0.0, None)
 
 
+def test_a_sum_beyond_the_type_gives_null_not_an_error(spark):
+    df = ticks(spark, [("A", s, "99999999999999999999") for s in range(3)] + [("B", 0, 1)])
+    whole = ("1 hour", "1 hour")
+    for result in (rolling_stats(df, *whole), rolling_stats_from_panes(df, *whole)):
+        means = {r.symbol_coin: r.arithmetic_mean for r in result.collect()}
+        assert means == {"A": None, "B": 1.0}
+
+
 def test_tumbling_windows(spark):
     result = rolling_stats(ticks(spark, [("A", s, 1) for s in range(0, 600, 10)]), "300 seconds", "300 seconds")
     assert result.count() == 2

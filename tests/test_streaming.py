@@ -2,10 +2,10 @@ import json
 import math
 import os
 from datetime import datetime, timezone
+from random import Random
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from tickbars.functions.messages import parse_ticks
 from tickbars.operators import boards, live, lookups
@@ -96,6 +96,19 @@ def test_stream_equals_batch(spark, tmp_path, files, rocksdb):
         assert [tuple(r) for r in last.collect()] == [tuple(r) for r in board.select(*last.columns).collect()]
 
 
+def test_disorder_within_the_watermark_loses_nothing(spark, session, tmp_path):
+    folder = str(tmp_path / "in")
+    messages = sample()
+    random = Random(3)
+    order = sorted(range(len(messages)), key=lambda i: i + random.random() * 15)  # up to 225 of 300 seconds late
+    land_in(spark, folder, [messages[i] for i in order], 6)
+    table, query = run(session, "rolling_stats", folder, str(tmp_path))
+    assert sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress) == 0
+    keys = ["symbol_coin", "end_time", "arithmetic_mean"]
+    ticks = parse_ticks(read_message_files(spark, folder))
+    assert rows(table.latest(spark).select(*keys)) == rows(rolling_stats(ticks).select(*keys))
+
+
 def test_update_mode_emits_changed_windows_again(spark, session, tmp_path):
     folder = str(tmp_path / "in")
     land(spark, folder, message("A", "10:00:05", 1.0), message("B", "10:00:06", 5.0))

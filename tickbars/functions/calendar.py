@@ -10,7 +10,8 @@ LABEL_FORMATS = {"month": "yyyy-MM", "year": "yyyy"}
 
 
 def as_date(column: Column) -> Column:
-    return column.cast("date")
+    """A date from a date, a timestamp or ``yyyy-MM-dd`` text with or without a time; NULL for other text."""
+    return column.try_cast("date")
 
 
 def period_start(column: Column, grain: str) -> Column:

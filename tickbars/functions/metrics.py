@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def ratio(numerator: Column, denominator: Column, *, percent: bool = False, as_type: str = "double") -> Column:
-    """``numerator / denominator``, NULL when the denominator is zero.
+    """``numerator / denominator``, NULL when the denominator is zero or a decimal result has too many digits.
 
     ``"double"`` divides as doubles, the type result tables store; ``"decimal"`` keeps Spark's decimal division, whose
     result for decimal(38,18) operands has six decimals.
@@ -17,7 +17,7 @@ def ratio(numerator: Column, denominator: Column, *, percent: bool = False, as_t
     elif as_type != "decimal":
         raise ValueError(f"as_type must be 'double' or 'decimal', not {as_type!r}")
     if percent:
-        numerator = F.lit(100) * numerator
+        numerator = F.try_multiply(F.lit(100), numerator)
     return F.try_divide(numerator, denominator)
 
 

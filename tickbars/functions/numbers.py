@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 def mean_of(df: DataFrame, column: str) -> Column:
     """Arithmetic mean as a double.
 
-    A decimal column is summed exactly and divided once, so the result does not depend on row order; a double column
-    takes Spark's ``avg``.
+    A decimal column is summed exactly and divided once, so the result does not depend on row order, and a sum beyond
+    38 digits gives NULL instead of ending a stream. A double column takes Spark's ``avg``.
     """
     if isinstance(df.schema[column].dataType, T.DecimalType):
-        return F.try_divide(F.sum(column).cast("double"), F.count(column).cast("double"))
+        return F.try_divide(F.try_sum(column).cast("double"), F.count(column).cast("double"))
     return F.avg(column)
 
 

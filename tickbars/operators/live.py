@@ -35,7 +35,7 @@ def with_daily_totals(ticks: DataFrame, time: str = "time_stamp") -> DataFrame:
     """
     day = F.col(time).cast("date")
     totals = ticks.groupBy(day.alias("day")).agg(
-        F.sum("volume").alias("total_24_volume"), F.sum("market_cap").alias("total_market_cap")
+        F.try_sum("volume").alias("total_24_volume"), F.try_sum("market_cap").alias("total_market_cap")
     )
     return ticks.withColumn("day", day).join(F.broadcast(totals), "day", "left").drop("day")
 
@@ -43,7 +43,7 @@ def with_daily_totals(ticks: DataFrame, time: str = "time_stamp") -> DataFrame:
 def with_snapshot_totals(ticks: DataFrame, snapshot: str) -> DataFrame:
     """The same for an arbitrary snapshot column; the join strategy is left to Spark, as nothing bounds its values."""
     totals = ticks.groupBy(snapshot).agg(
-        F.sum("volume").alias("total_24_volume"), F.sum("market_cap").alias("total_market_cap")
+        F.try_sum("volume").alias("total_24_volume"), F.try_sum("market_cap").alias("total_market_cap")
     )
     return ticks.join(totals, snapshot, "left")
 

@@ -51,7 +51,7 @@ def rolling_stats_from_panes(
         ticks.groupBy(F.window("time_stamp", slide), "symbol_coin")
         .agg(
             F.count("price").alias("n"),
-            F.sum("price").alias("total"),
+            F.try_sum("price").alias("total"),
             F.avg(price).alias("mean"),
             F.var_pop(price).alias("variance"),
             F.count(F.ln(price)).alias("n_log"),
@@ -70,7 +70,7 @@ def rolling_stats_from_panes(
     )
     windows = panes.groupBy(F.window("pane", duration, slide), "symbol_coin").agg(
         F.sum("n").alias("n"),
-        F.sum("total").alias("total"),
+        F.try_sum("total").alias("total"),
         F.sum("n_log").alias("n_log"),
         F.sum("sum_log").alias("sum_log"),
         # Bounded: one entry per pane of the window.

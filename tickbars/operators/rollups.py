@@ -34,8 +34,7 @@ def period_base(bars: DataFrame, grain: str, *, unique_sequence: bool = False) -
     ties, which needs a wider order and hence a sort before each side of the aggregation. Either way rows are combined
     before the shuffle, so an asset holding much of the data sends one row per period and task.
     """
-    day = as_date(F.col("Date"))
-    bars = drop_incomplete(bars, BAR_INPUT).withColumn("Date", day)
+    bars = drop_incomplete(bars.withColumn("Date", as_date(F.col("Date"))), BAR_INPUT)
     bars = bars.withColumn("period", period_start(F.col("Date"), grain))
     if unique_sequence:
         bars = bars.withColumn("position", _sequence_key(bars))

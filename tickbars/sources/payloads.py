@@ -15,6 +15,9 @@ LANDED_PAYLOAD = T.StructType(
     [T.StructField("fetched_at", T.LongType()), T.StructField("body", T.StringType())]
 )
 
+# 9999-12-31 23:59:59: seconds beyond the years Spark prints are a unit mistake, and huge ones would not even convert.
+LAST_SECOND = 253_402_300_799
+
 
 def read_payloads(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Landed payloads: one JSON line per poll, with its fetch time in epoch seconds and the response text."""
@@ -32,8 +35,10 @@ def flatten_payloads(payloads: DataFrame, body: str = "body", fetched_at: str =
     unreadable field is marked and the other coins of its document go on.
     """
     document = F.from_json(F.col(body).cast("string"), PAYLOAD, {"mode": "PERMISSIVE"})
+    seconds = F.col(fetched_at)
+    fetched = F.when(seconds.between(0, LAST_SECOND), F.timestamp_seconds(seconds))
     coins = payloads.select(
-        F.timestamp_seconds(F.col(fetched_at)).alias("time_stamp"), document.getField("data").alias("data")
+        fetched.alias("time_stamp"), document.getField("data").alias("data")
     ).select("time_stamp", F.col("data.stats").alias("stats"), F.explode("data.coins").alias("coin"))
 
     price = _money(F.col("coin.price"))
