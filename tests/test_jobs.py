@@ -42,6 +42,7 @@ def test_commands(spark, tmp_path):
     for contract in (schemas.MONTH_BARS, schemas.YEAR_BARS, schemas.TOP_MARKETCAP):
         assert table(spark, contract, again) == table(spark, contract, out)
 
+    jobs.main(["bars", "--input", *paths, "--output", out, "--run", "2"])
     jobs.main(["compact", "--output", out, "--table", "crypto_month_agg"])
     assert table(spark, schemas.MONTH_BARS, out) == months
 

@@ -63,44 +63,56 @@ def test_uncommitted_batch_is_not_read(spark, table):
 
 def test_compaction(spark, table):
     table.write_batch(batch(spark, (1, "a", "", 1), (2, "b", "", 1)), 0)
+    assert table.compact(spark) == -1  # the newest batch may still be repeated
     table.write_batch(batch(spark, (3, "a", "", 1)), 4)
-    assert table.compact(spark) == 4
-    assert table.compact(spark) == 4
+    assert table.compact(spark) == 0
+    assert table.compact(spark) == 0
     assert rows(table.latest(spark)) == [("a", 1, 3), ("b", 1, 2)]
     table.write_batch(batch(spark, (0, "b", "", 1), (9, "c", "", 1)), 5)
     expected = [("a", 1, 3), ("b", 1, 0), ("c", 1, 9)]
     assert rows(table.latest(spark)) == expected
     # Few new keys: the compacted rows are not shuffled.
     assert "LeftAnti" in plan(table.latest(spark)) and "SortMergeJoin" not in plan(table.latest(spark))
-    assert table.compact(spark) == 5
+    assert table.compact(spark) == 4
     assert rows(table.latest(spark)) == expected
     table.drop_compacted(spark)
     assert sorted(os.listdir(f"{table.path}/log")) == ["batch_id=5"]
-    assert sorted(os.listdir(f"{table.path}/compacted")) == ["batch_id=5"]
+    assert sorted(os.listdir(f"{table.path}/compacted")) == ["batch_id=4"]
     assert rows(table.latest(spark)) == expected
     assert rows(KeyedTable.open(spark, CONTRACT, table.path).latest(spark)) == expected
 
 
+def test_the_newest_batch_can_be_replaced_after_a_compaction_and_older_ones_cannot(spark, table):
+    for number in range(3):
+        table.write_batch(batch(spark, (number, "a", "", 1), (number, "b", "", number)), number)
+    assert table.compact(spark) == 1
+    table.write_batch(batch(spark, (7, "a", "", 1)), 2)
+    assert rows(table.latest(spark)) == [("a", 1, 7), ("b", 0, 0), ("b", 1, 1)]
+    with pytest.raises(ValueError, match="compacted"):
+        table.write_batch(batch(spark, (8, "a", "", 1)), 1)
+
+
 def test_a_compaction_that_died_is_ignored(spark, table):
     table.write_batch(batch(spark, (1, "a", "", 1)), 0)
+    table.write_batch(batch(spark, (2, "b", "", 1)), 1)
     table.compact(spark)
     os.remove(f"{table.path}/compacted/batch_id=0/_SUCCESS")
-    assert rows(table.latest(spark)) == [("a", 1, 1)]
+    assert rows(table.latest(spark)) == [("a", 1, 1), ("b", 1, 2)]
     assert table.compact(spark) == 0
-    assert rows(table.latest(spark)) == [("a", 1, 1)]
+    assert rows(table.latest(spark)) == [("a", 1, 1), ("b", 1, 2)]
 
 
 def test_null_in_a_key_is_a_key_of_its_own(spark, table):
     table.write_batch(batch(spark, (1, "a", "", None), (2, "a", "", 1)), 0)
-    table.compact(spark)
     table.write_batch(batch(spark, (3, "a", "", None)), 1)
+    assert table.compact(spark) == 0
     assert rows(table.latest(spark)) == [("a", 1, 2), ("a", None, 3)]
 
 
 def test_lookups_reach_the_scans(spark, table):
     table.write_batch(batch(spark, *[(i, "ab"[i % 2], "", i) for i in range(20)]), 0)
-    table.compact(spark)
     table.write_batch(batch(spark, (99, "a", "", 4)), 1)
+    assert table.compact(spark) == 0
     found = table.latest(spark, (F.col("k") == "a") & F.col("p").between(4, 7))
     scans = [line for line in plan(found).splitlines() if "FileScan" in line]
     assert rows(found) == [("a", 4, 99), ("a", 6, 6)]

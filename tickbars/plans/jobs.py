@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickbars import schemas
 from tickbars.operators import ranking, rollups
-from tickbars.schemas import TOPIC, ResultTable
+from tickbars.schemas import POLL_INTERVAL, TOPIC, ResultTable
 from tickbars.session import streaming_session, use_utc
 from tickbars.sinks.keyed import KeyedTable
 from tickbars.sources import bars as bar_source
@@ -84,12 +84,14 @@ def tick_stream(
     state_partitions: int | None = None,
     store: str = "files",
     source_options: dict[str, str] | None = None,
+    interval: str = POLL_INTERVAL,
 ) -> None:
     """Land the topic once, run the five queries on the landed ticks, and end when any of them does."""
     session = streaming_session(spark, state_partitions=state_partitions)
     landed = f"{root.rstrip('/')}/ticks"
     messages = read_topic_stream(session, servers, topic, source_options)
-    started = [landing.land_ticks(messages, landed, f"{root.rstrip('/')}/ticks_checkpoint")]
+    checkpoint = f"{root.rstrip('/')}/ticks_checkpoint"
+    started = [landing.land_ticks(messages, landed, checkpoint, processingTime=interval)]
     results = queries.start_all(landing.read_landed_stream(session, landed), root, store=store)
     started += [query for _, query in results.values()]
     queries.await_any(session, started)
@@ -123,6 +125,7 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--servers", required=True)
     stream.add_argument("--topic", default=TOPIC)
     stream.add_argument("--state-partitions", type=int)
+    stream.add_argument("--interval", default=POLL_INTERVAL, help="how often the topic is landed")
     stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option of the topic reader")
     compaction = commands.add_parser("compact")
     compaction.add_argument("--table", required=True, choices=sorted(schemas.RESULT_TABLES))
@@ -141,6 +144,7 @@ def main(argv: list[str] | None = None) -> None:
             args.output,
             state_partitions=args.state_partitions,
             store=args.store,
+            interval=args.interval,
             source_options=dict(option.split("=", 1) for option in args.option),
         )
     elif args.command == "land":

@@ -110,7 +110,8 @@ def windows(ticks: str, seconds: int, slide: int, harmonic: bool = False, where:
     return f"""{ticks},
 placed as (
   select symbol_coin, price,
-         time_bucket(interval '{slide} seconds', time_stamp, timestamp '1970-01-01') - to_seconds(i * {slide}) as start_time
+         time_bucket(interval '{slide} seconds', time_stamp, timestamp '1970-01-01') - to_seconds(i * {slide})
+           as start_time
   from ticks, range(0, {seconds // slide}) as steps(i)
 )
 select symbol_coin,
@@ -177,6 +178,14 @@ def message_fields(time: str) -> str:
 
 HOURLY_BATCHES = newest_price(HOURS, "case when k < 33 then 0 when k < 66 then 1 else 2 end")
 
+REJECTS = """
+with raw as (select cast(json_extract_string(props, '$.k') as integer) as k from events)
+select case k % 5 when 1 then 'missing name' when 2 then 'time range' when 3 then 'missing name'
+                  when 4 then 'missing time' else 'none' end as reject_reason,
+       count(*) as n
+from raw group by 1
+"""
+
 ORACLE: dict[str, str] = {
     "bars_by_month": bars_by("month", "%Y-%m"),
     "bars_by_year": bars_by("year", "%Y"),
@@ -254,13 +263,7 @@ select * exclude (r) from (
     )
     + "order by percent_market_cap desc nulls last, name_coin limit 10",
     "tick_messages": f"{SECONDS} select id as key, {message_fields('time_stamp')} from metrics",
-    "tick_rejects": """
-with raw as (select cast(json_extract_string(props, '$.k') as integer) as k from events)
-select case k % 5 when 1 then 'missing name' when 2 then 'time range' when 3 then 'missing name'
-                  when 4 then 'missing time' else 'none' end as reject_reason,
-       count(*) as n
-from raw group by 1
-""",
+    "tick_rejects": REJECTS,
     "payload_coins": f"""{EXACT}
 select {message_fields("fetched").replace("cast(price_old as double)", "cast(old as double)")}
 from (
@@ -276,6 +279,7 @@ from (
     "stream_top_winners": leaders(SECONDS, "desc"),
     "stream_top_losers": leaders(SECONDS, "asc"),
     "stream_market_share": share(SECONDS),
+    "stream_landing": REJECTS,
     "stream_all": f"""{SECONDS}
 select 'live_prices' as result, count(distinct (symbol_coin, time_stamp)) as n, max(time_stamp) as newest from ticks
 union all

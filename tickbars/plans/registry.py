@@ -102,7 +102,8 @@ def asset_summary(spark, sf_dir):
 
 def formatted_summary(spark, sf_dir):
     summary = rollups.asset_summary(tables.quotes(spark, sf_dir))
-    return with_formatted(summary, ["min_price", "max_price"]).select("name", "min_price_formatted", "max_price_formatted")
+    shown = with_formatted(summary, ["min_price", "max_price"])
+    return shown.select("name", "min_price_formatted", "max_price_formatted")
 
 
 def top_bars(spark, sf_dir):
@@ -248,8 +249,8 @@ def tick_messages(spark, sf_dir):
     return plain(parse_ticks(read_message_files(spark, path), keep=("key",)))
 
 
-def tick_rejects(spark, sf_dir):
-    """Messages damaged in one of four ways, or left alone, counted by the reason they are set aside for."""
+def _damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ticks as messages, each damaged in one of four ways or left alone."""
     messages = to_messages(_ticks(spark, sf_dir))
     value = F.col("value")
     kind = F.pmod(F.get_json_object(value, "$.price_old").cast("double").cast("int"), F.lit(5))
@@ -260,7 +261,12 @@ def tick_rejects(spark, sf_dir):
         .when(kind == 4, F.regexp_replace(value, r'"time_stamp":\d+', '"time_stamp":null'))
         .otherwise(value)
     )
-    ticks = parse_ticks(messages.select(damaged.cast("binary").alias("value")))
+    return messages.select("key", damaged.alias("value"))
+
+
+def tick_rejects(spark, sf_dir):
+    """Damaged messages counted by the reason they are set aside for."""
+    ticks = parse_ticks(_damaged_messages(spark, sf_dir).select(F.col("value").cast("binary").alias("value")))
     reason = F.coalesce(reject_reason(), F.lit("none"))
     return ticks.groupBy(reason.alias("reject_reason")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -292,12 +298,11 @@ def keyed_upsert(spark, sf_dir):
 
 
 def keyed_upsert_compacted(spark, sf_dir):
-    """The same table when the first two batches were compacted before the third came."""
+    """The same table with its first two batches compacted."""
     table, batches = _hourly_prices(spark, sf_dir)
-    table.write_batch(batches[0], 0)
-    table.write_batch(batches[1], 1)
+    for number, batch in enumerate(batches):
+        table.write_batch(batch, number)
     table.compact(spark)
-    table.write_batch(batches[2], 2)
     return plain(table.latest(spark))
 
 
@@ -341,6 +346,18 @@ def stream_market_share(spark, sf_dir):
     return plain(lookups.share_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
+def stream_landing(spark, sf_dir):
+    """Damaged messages landed by the shared step: its accepted ticks and its quarantine, counted by reason."""
+    root = work_dir(spark, "landing")
+    _damaged_messages(spark, sf_dir).write.parquet(f"{root}/messages")
+    messages = read_message_files_stream(streaming_session(spark), f"{root}/messages")
+    landed = f"{root}/ticks"
+    streams.await_all([landing.land_ticks(messages, landed, f"{root}/checkpoint", availableNow=True)])
+    accepted = landing.read_landed(spark, landed).select(F.lit("none").alias("reject_reason"))
+    rejected = landing.read_quarantine(spark, landed).select("reject_reason")
+    return accepted.unionByName(rejected).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def stream_all(spark, sf_dir):
     """Landing first, then all five queries at once on the landed ticks; the size and newest time of each table."""
     session, root, messages = _message_stream(spark, sf_dir, "all")
@@ -404,6 +421,7 @@ QUERIES: dict[str, Query] = {
         stream_top_winners,
         stream_top_losers,
         stream_market_share,
+        stream_landing,
         stream_all,
     )
 }

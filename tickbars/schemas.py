@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------------------------------------------------
 
 TOPIC = "crypto"
+TOPIC_FORMAT = "kafka"
+STORE_FORMAT = "org.apache.spark.sql.cassandra"
+POLL_INTERVAL = "15 seconds"
 WATERMARK = "300 seconds"
 WINDOW_DURATION = "300 seconds"
 SLIDE_DURATION = "30 seconds"

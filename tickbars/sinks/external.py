@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.operators.quality import drop_incomplete
-from tickbars.schemas import ResultTable
+from tickbars.schemas import STORE_FORMAT, ResultTable
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,7 @@ class CassandraTable:
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         rows = drop_incomplete(df.select(*self.contract.columns), self.contract.keys)
-        writer = rows.write.format("org.apache.spark.sql.cassandra").mode("append")
+        writer = rows.write.format(STORE_FORMAT).mode("append")
         writer.option("keyspace", self.contract.keyspace).option("table", self.contract.name).save()
 
 

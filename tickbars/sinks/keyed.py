@@ -58,7 +58,13 @@ class KeyedTable:
         return f"{self.path}/checkpoint"
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Store one batch; the same ``batch_id`` again replaces it."""
+        """Store one batch; the same ``batch_id`` again replaces it, unless it has become part of a compacted folder.
+
+        Compaction leaves the newest batch alone, so a stream can always repeat the one batch it may have to.
+        """
+        spark = df.sparkSession
+        if batch_id <= self._last_compacted(spark):
+            raise ValueError(f"batch {batch_id} of {self.path} is compacted and cannot be replaced; use a new number")
         rows = df.select(*self.contract.columns)
         rows.write.mode("overwrite").parquet(f"{self.path}/log/{BATCH}={batch_id}")
 
@@ -74,11 +80,12 @@ class KeyedTable:
         done = _committed(spark, f"{self.path}/compacted")
         return done[-1] if done else -1
 
-    def log(self, spark: SparkSession, after: int = -1) -> DataFrame:
+    def log(self, spark: SparkSession, after: int = -1, upto: int | None = None) -> DataFrame:
         """Every committed row with its batch, later versions of a key included."""
-        return self._read(spark, "log", [b for b in _committed(spark, f"{self.path}/log") if b > after])
+        batches = _committed(spark, f"{self.path}/log")
+        return self._read(spark, "log", [b for b in batches if b > after and (upto is None or b <= upto)])
 
-    def latest(self, spark: SparkSession, key_filter: Column | None = None) -> DataFrame:
+    def latest(self, spark: SparkSession, key_filter: Column | None = None, upto: int | None = None) -> DataFrame:
         """The newest row of each key, by batch and then by the row's own values.
 
         Compacted rows are unique already, so they only lose the keys that newer batches wrote again; while those
@@ -94,7 +101,7 @@ class KeyedTable:
             return rows if key_filter is None else rows.where(key_filter)
 
         compacted = self._last_compacted(spark)
-        recent = latest_per_key(kept(self.log(spark, after=compacted)), keys, [BATCH])
+        recent = latest_per_key(kept(self.log(spark, compacted, upto)), keys, [BATCH])
         if compacted < 0:
             return recent.drop(BATCH)
         older, newer = kept(self._read(spark, "compacted", [compacted])), recent.select(*keys)
@@ -103,30 +110,31 @@ class KeyedTable:
         return older.join(newer, same_key, "left_anti").select(*recent.columns).unionByName(recent).drop(BATCH)
 
     def compact(self, spark: SparkSession) -> int:
-        """Write the table as of its last batch as one folder, ordered by key so that a lookup skips most files.
+        """Write the table as of its last batch but one as one folder, and return that batch's number.
 
-        Readers use it from the moment its commit marker exists. The range partitioning splits a key column's hot value
-        by the next key column.
+        The folder is ordered by key, so that a lookup skips most files, and readers use it from the moment its commit
+        marker exists. The range partitioning splits a hot value of a key column by the next key column.
         """
-        batches = _committed(spark, f"{self.path}/log")
-        if not batches or batches[-1] <= self._last_compacted(spark):
-            return self._last_compacted(spark)
+        done = self._last_compacted(spark)
+        target = max(_committed(spark, f"{self.path}/log")[:-1], default=-1)
+        if target <= done:
+            return done
         keys = list(self.contract.keys)
-        rows = self.latest(spark).repartitionByRange(*keys).sortWithinPartitions(*keys)
-        rows.write.mode("overwrite").parquet(f"{self.path}/compacted/{BATCH}={batches[-1]}")
-        return batches[-1]
+        rows = self.latest(spark, upto=target).repartitionByRange(*keys).sortWithinPartitions(*keys)
+        rows.write.mode("overwrite").parquet(f"{self.path}/compacted/{BATCH}={target}")
+        return target
 
     def drop_compacted(self, spark: SparkSession) -> None:
-        """Delete what the newest compacted folder has replaced, keeping the last batch as the current snapshot.
+        """Delete what the newest compacted folder has replaced.
 
         For maintenance windows: a query that is still reading an older state of the table would miss its files.
         """
         last = self._last_compacted(spark)
-        for kind in ("log", "compacted"):
-            for batch in _committed(spark, f"{self.path}/{kind}"):
-                if batch < last:
-                    path, fs = _file_system(spark, f"{self.path}/{kind}/{BATCH}={batch}")
-                    fs.delete(path, True)
+        replaced = [("log", b) for b in _committed(spark, f"{self.path}/log") if b <= last]
+        replaced += [("compacted", b) for b in _committed(spark, f"{self.path}/compacted") if b < last]
+        for kind, batch in replaced:
+            path, fs = _file_system(spark, f"{self.path}/{kind}/{BATCH}={batch}")
+            fs.delete(path, True)
 
     def snapshots(self, spark: SparkSession) -> DataFrame:
         """Rows of a board table with the batch that emitted them as ``snapshot_id``."""

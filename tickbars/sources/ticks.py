@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tickbars.schemas import TOPIC
+from tickbars.schemas import TOPIC, TOPIC_FORMAT
 
 MESSAGE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
@@ -18,7 +18,7 @@ def read_topic_stream(
     Offsets start where Kafka's source starts by default (the end of the topic) unless ``options`` says otherwise;
     ``maxOffsetsPerTrigger`` there bounds a batch after an outage.
     """
-    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    reader = spark.readStream.format(TOPIC_FORMAT).option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     return reader.options(**(options or {})).load()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.functions.messages import parse_ticks, reject_reason
-from tickbars.schemas import TICK
+from tickbars.schemas import POLL_INTERVAL, TICK
 from tickbars.session import make_folder
 
 LANDED = T.StructType(
@@ -44,7 +44,7 @@ def land_ticks(messages: DataFrame, path: str, checkpoint: str, **trigger) -> St
     make_folder(messages.sparkSession, path)  # readers may start before the first batch is in
     writer = landed_rows(messages).writeStream.outputMode("append").format("parquet").partitionBy("rejected")
     writer = writer.option("checkpointLocation", checkpoint).option("path", path)
-    return writer.trigger(**(trigger or {"processingTime": "15 seconds"})).start()
+    return writer.trigger(**(trigger or {"processingTime": POLL_INTERVAL})).start()
 
 
 def read_landed_stream(
