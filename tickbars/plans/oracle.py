@@ -274,6 +274,9 @@ from (
 """,
     "keyed_upsert": HOURLY_BATCHES,
     "keyed_upsert_compacted": HOURLY_BATCHES,
+    "stored_price_history": f"""
+select * from ({HOURLY_BATCHES}) where symbol_coin = 'view' and time_stamp < '2024-01-16' order by time_stamp desc
+""",
     "stream_live_prices": newest_price(SECONDS, "1"),
     "stream_rolling_stats": windows(SECONDS, 300, 30),
     "stream_top_winners": leaders(SECONDS, "desc"),

@@ -306,6 +306,16 @@ def keyed_upsert_compacted(spark, sf_dir):
     return plain(table.latest(spark))
 
 
+def stored_price_history(spark, sf_dir):
+    """One symbol's hours up to a time, newest first, out of the partly compacted table."""
+    table, batches = _hourly_prices(spark, sf_dir)
+    for number, batch in enumerate(batches):
+        table.write_batch(batch, number)
+    table.compact(spark)
+    wanted = (F.col("symbol_coin") == "view") & (F.col("time_stamp") < F.lit("2024-01-16").cast("timestamp"))
+    return plain(lookups.price_history(table.latest(spark, wanted), "view"))
+
+
 # Streams: the ticks as message files, one availableNow run into a fresh table, and the table read back ----------------
 
 
@@ -416,6 +426,7 @@ QUERIES: dict[str, Query] = {
         payload_coins,
         keyed_upsert,
         keyed_upsert_compacted,
+        stored_price_history,
         stream_live_prices,
         stream_rolling_stats,
         stream_top_winners,
