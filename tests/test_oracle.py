@@ -4,9 +4,10 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_point
+from tickbars.plans.oracle import ORACLE as SQL
+from tickbars.plans.registry import registered
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = registered()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
