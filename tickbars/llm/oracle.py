@@ -1,5 +1,77 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
+OP3 = r"""
+WITH sized AS (
+    SELECT doc_id, coalesce('a' || source, 'b') AS source,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':20'), 1, 13))::BIGINT + 0.5::DOUBLE)
+               / 4503599627370496::DOUBLE AS u
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
+           (row_number() OVER (ORDER BY source) - 1) % 3 + 1 AS weight
+    FROM sized GROUP BY source
+), ordered AS (
+    SELECT *, coalesce(sum(cap) OVER before, 0)::BIGINT AS capped, sum(weight) OVER after AS free,
+           (SELECT sum(size) FROM sized) AS total
+    FROM sources
+    WINDOW before AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           after AS (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), level AS (
+    SELECT (total - capped)::BIGINT AS up, free::BIGINT AS down FROM ordered
+    WHERE (total - capped)::DOUBLE * weight / free::DOUBLE < cap
+    ORDER BY cap / weight, source LIMIT 1
+), targets AS (
+    SELECT source, source_size,
+           CASE WHEN down IS NULL THEN cap::DOUBLE
+                ELSE least(up::DOUBLE * weight / down::DOUBLE, cap::DOUBLE) END AS target
+    FROM sources LEFT JOIN level ON true
+), expected AS (
+    SELECT *, least(coalesce(target / nullif(source_size, 0), 0), 3) AS copies, floor(copies) AS whole,
+           copies - whole AS rest
+    FROM sized JOIN targets USING (source)
+), ranked AS (
+    SELECT *, CASE WHEN rest > 0 AND size > 0 THEN u * (1 - rest) / (u * (1 - rest) + rest * (1 - u)) END AS rank,
+           target - sum(whole * size) OVER (PARTITION BY source) AS missing
+    FROM expected
+), running AS (
+    SELECT *, sum(CASE WHEN rank IS NOT NULL THEN size END)
+                  OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id) - size / 2 AS middle
+    FROM ranked
+)
+SELECT doc_id, size, source_size, target,
+       ((whole + CASE WHEN rank IS NOT NULL AND middle <= missing THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM running
+"""
+
+OP5 = r"""
+WITH words AS (
+    SELECT doc_id, w
+    FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS gram
+    FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0
+), lengths AS (SELECT DISTINCT n FROM windows),
+grams AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, lengths)
+), hits AS (SELECT doc_id, i, n, item_id FROM grams JOIN windows USING (n, gram)),
+covered AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS item_ids
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(item_ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 OP9 = r"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -7,4 +79,4 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE = {"op9_exact_dedup": OP9}
+ORACLE = {"op3_mixing": OP3, "op5_decontamination": OP5, "op9_exact_dedup": OP9}

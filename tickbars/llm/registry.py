@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
-from tickbars.llm import exact_dedup
-from tickbars.llm.shared import documents
+from tickbars.llm import decontaminate, exact_dedup, mixing
+from tickbars.llm.shared import documents, table
+
+
+def op3_mixing(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    mixed = mixing.mix(docs, mixing.repeating_weights(docs))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op9_exact_dedup(spark, sf_dir):
@@ -13,6 +23,8 @@ def op9_exact_dedup(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
+        op3_mixing,
+        op5_decontamination,
         op9_exact_dedup,
     )
 }
