@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickbars.llm import decontaminate, exact_dedup, mixing
+from tickbars.llm import decontaminate, exact_dedup, mixing, near_dedup
 from tickbars.llm.shared import documents, table
 
 
@@ -16,6 +16,10 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.mark_near_copies(documents(spark, sf_dir), k=2)
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(documents(spark, sf_dir))
 
@@ -25,6 +29,7 @@ QUERIES = {
     for query in (
         op3_mixing,
         op5_decontamination,
+        op8_near_dedup,
         op9_exact_dedup,
     )
 }
