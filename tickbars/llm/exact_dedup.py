@@ -15,6 +15,8 @@ lets one of them stay. An empty table gives an empty result. Other columns are c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -40,48 +42,63 @@ def _probes(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(34)) & mask).astype(np.int64)
 
 
+def packed_probes(hashes: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
+    """The slots that some hashes touch, by segment: those touched once and those touched more often."""
+    found, counts = np.unique(np.concatenate(_probes(hashes, slots)), return_counts=True)
+    cuts = np.flatnonzero(np.diff(found // _SEGMENT)) + 1
+    rows = []
+    for at, n in zip(np.split(found, cuts), np.split(counts, cuts), strict=True):
+        low = (at % _SEGMENT).astype("<u2")
+        rows.append((int(at[0] // _SEGMENT) if len(at) else 0, low[n == 1].tobytes(), low[n > 1].tobytes()))
+    for i in range(0, len(rows), 1000):
+        segment, once, more = zip(*rows[i : i + 1000], strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(segment, pa.int32()), pa.array(once, pa.binary()), pa.array(more, pa.binary())],
+            ["segment", "once", "more"],
+        )
+
+
+def merged_slots(parts: DataFrame, slots: int) -> np.ndarray:
+    """The slots touched more than once over all parts, as packed bits: slots / 8 bytes."""
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros(_SEGMENT, np.int64)
+        for column, weight in (("once", 1), ("more", 2)):
+            for packed in rows[column]:
+                counts[np.frombuffer(packed, "<u2")] += weight
+        return pd.DataFrame({"segment": rows["segment"].iloc[:1], "bits": [np.packbits(counts > 1).tobytes()]})
+
+    bits = np.zeros(slots // 8, np.uint8)
+    for row in parts.groupBy("segment").applyInPandas(merged, "segment int, bits binary").toLocalIterator():
+        low = row.segment * (_SEGMENT // 8)
+        bits[low : low + _SEGMENT // 8] = np.frombuffer(row.bits, np.uint8)
+    return bits
+
+
+def probed(bits: np.ndarray, hashes: np.ndarray, slots: int) -> np.ndarray:
+    """Whether all probes of each hash were touched more than once."""
+    found = np.ones(len(hashes), bool)
+    for at in _probes(hashes, slots):
+        found &= (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+    return found
+
+
 def repeated_slots(hashes: DataFrame, slots: int) -> np.ndarray:
     """The slots that the hashes of a one-column frame hit more than once, as packed bits."""
 
     def touched(batches):
-        def flush(held):
-            found, counts = np.unique(np.concatenate(_probes(np.concatenate(held), slots)), return_counts=True)
-            cuts = np.flatnonzero(np.diff(found // _SEGMENT)) + 1
-            rows = []
-            for at, n in zip(np.split(found, cuts), np.split(counts, cuts), strict=True):
-                low = (at % _SEGMENT).astype("<u2")
-                rows.append((int(at[0] // _SEGMENT), low[n == 1].tobytes(), low[n > 1].tobytes()))
-            for i in range(0, len(rows), 1000):
-                segment, once, more = zip(*rows[i : i + 1000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(segment, pa.int32()), pa.array(once, pa.binary()), pa.array(more, pa.binary())],
-                    ["segment", "once", "more"],
-                )
-
         held, n = [], 0
         for batch in batches:
             if batch.num_rows:
                 held.append(batch.column(0).to_numpy(zero_copy_only=False))
                 n += batch.num_rows
             if n >= _FLUSH_ROWS:
-                yield from flush(held)
+                yield from packed_probes(np.concatenate(held), slots)
                 held, n = [], 0
         if held:
-            yield from flush(held)
+            yield from packed_probes(np.concatenate(held), slots)
 
-    def merged(parts: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros(_SEGMENT, np.int64)
-        for column, weight in (("once", 1), ("more", 2)):
-            for packed in parts[column]:
-                counts[np.frombuffer(packed, "<u2")] += weight
-        return pd.DataFrame({"segment": parts["segment"].iloc[:1], "bits": [np.packbits(counts > 1).tobytes()]})
-
-    parts = hashes.mapInArrow(touched, "segment int, once binary, more binary")
-    bits = np.zeros(slots // 8, np.uint8)
-    for row in parts.groupBy("segment").applyInPandas(merged, "segment int, bits binary").toLocalIterator():
-        low = row.segment * (_SEGMENT // 8)
-        bits[low : low + _SEGMENT // 8] = np.frombuffer(row.bits, np.uint8)
-    return bits
+    return merged_slots(hashes.mapInArrow(touched, "segment int, once binary, more binary"), slots)
 
 
 def _digests(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
@@ -95,10 +112,7 @@ def _digests(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
 
     @F.pandas_udf("boolean")
     def maybe_repeated(values: pd.Series) -> pd.Series:
-        bits, found = repeated.value, np.ones(len(values), bool)
-        for at in _probes(values.to_numpy(), slots):
-            found &= (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
-        return pd.Series(found)
+        return pd.Series(probed(repeated.value, values.to_numpy(), slots))
 
     return (
         hashed.withColumn(_DIGEST, F.unhex(F.sha2(content, 256))).withColumn(_MAYBE, maybe_repeated(_HASH)).drop(_HASH),

@@ -1,5 +1,26 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
+OP1 = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)
+), firsts AS (SELECT gram, min(doc_id) AS first_id FROM grams GROUP BY gram HAVING count(*) > 1),
+removed AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j
+    FROM grams JOIN firsts USING (gram) WHERE first_id < doc_id
+), kept AS (
+    SELECT doc_id, word, j FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM words)
+    ANTI JOIN removed USING (doc_id, j)
+), left_over AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM kept GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(left_over.text, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (doc_id)
+"""
+
 OP3 = r"""
 WITH sized AS (
     SELECT doc_id, coalesce('a' || source, 'b') AS source,
@@ -79,4 +100,4 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE = {"op3_mixing": OP3, "op5_decontamination": OP5, "op9_exact_dedup": OP9}
+ORACLE = {"op1_substring_dedup": OP1, "op3_mixing": OP3, "op5_decontamination": OP5, "op9_exact_dedup": OP9}

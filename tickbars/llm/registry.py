@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from tickbars.llm import decontaminate, exact_dedup, mixing, near_dedup
+from pyspark.sql import functions as F
+
+from tickbars.llm import decontaminate, exact_dedup, mixing, near_dedup, substring_dedup
 from tickbars.llm.shared import documents, table
 
 
+def op1_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeated(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_mixing(spark, sf_dir):
     docs = documents(spark, sf_dir)
     mixed = mixing.mix(docs, mixing.repeating_weights(docs))
@@ -27,6 +34,7 @@ def op9_exact_dedup(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_substring_dedup,
         op3_mixing,
         op5_decontamination,
         op8_near_dedup,
