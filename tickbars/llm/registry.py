@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickbars.llm import decontaminate, exact_dedup, mixing, near_dedup, substring_dedup
-from tickbars.llm.shared import documents, table
+from tickbars.llm import decontaminate, exact_dedup, mixing, near_dedup, substring_dedup, toxicity
+from tickbars.llm.shared import crc_fold, documents, table
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -19,6 +19,18 @@ def op3_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    learn = toxicity.labelled(docs.where(crc_fold(F.col("doc_id"), 4) != 2), table(spark, sf_dir, "labels"))
+    scored = toxicity.with_scores(docs, toxicity.fit(learn), name="score")
+    return scored.select(
+        "doc_id",
+        (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_decontamination(spark, sf_dir):
     return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +48,7 @@ QUERIES = {
     for query in (
         op1_substring_dedup,
         op3_mixing,
+        op4_toxicity,
         op5_decontamination,
         op8_near_dedup,
         op9_exact_dedup,
