@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickbars.llm import decontaminate, exact_dedup, mixing, near_dedup, substring_dedup, toxicity
+from tickbars.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, substring_dedup, toxicity
 from tickbars.llm.shared import crc_fold, documents, table
 
 
@@ -35,6 +35,14 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    fold = crc_fold(F.col("doc_id"), 4)
+    model = language_id.fit(docs.where(fold != 2).select(F.col("doc_id").alias("id"), "text", "lang"))
+    found = language_id.with_language(docs.select("doc_id", "text"), model, score="score")
+    return found.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_near_dedup(spark, sf_dir):
     return near_dedup.mark_near_copies(documents(spark, sf_dir), k=2)
 
@@ -50,6 +58,7 @@ QUERIES = {
         op3_mixing,
         op4_toxicity,
         op5_decontamination,
+        op7_language_id,
         op8_near_dedup,
         op9_exact_dedup,
     )
