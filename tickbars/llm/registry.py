@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickbars.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, substring_dedup, toxicity
+from tickbars.llm import decontaminate, exact_dedup, language_id, lm_scoring, mixing, near_dedup, substring_dedup, toxicity
 from tickbars.llm.shared import crc_fold, documents, table
 
 
@@ -35,6 +35,14 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_scoring(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    fold = crc_fold(F.col("doc_id"), 7)
+    model, counts = lm_scoring.fit(docs.where(fold != 2))
+    scored = lm_scoring.with_scores(docs, model, counts, carry=["doc_id"])
+    return scored.withColumn("held_out", fold == 2)
+
+
 def op7_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     fold = crc_fold(F.col("doc_id"), 4)
@@ -58,6 +66,7 @@ QUERIES = {
         op3_mixing,
         op4_toxicity,
         op5_decontamination,
+        op6_lm_scoring,
         op7_language_id,
         op8_near_dedup,
         op9_exact_dedup,
