@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickbars.llm import decontaminate, exact_dedup, language_id, lm_scoring, mixing, near_dedup, substring_dedup, toxicity
+from tickbars.llm import chat, decontaminate, exact_dedup, html_extract, language_id, lm_scoring, mixing, near_dedup, substring_dedup, toxicity
 from tickbars.llm.shared import crc_fold, documents, table
 
 
@@ -13,6 +13,15 @@ def op1_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    made = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
+    records = chat.records_of_rows(rows.unionByName(made))
+    chats = chat.with_format(chat.canonical_turns(records).select("conv_id", "turns"))
+    return chat.digests(chats, ["conv_id"])
+
+
 def op3_mixing(spark, sf_dir):
     docs = documents(spark, sf_dir)
     mixed = mixing.mix(docs, mixing.repeating_weights(docs))
@@ -59,10 +68,18 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(documents(spark, sf_dir))
 
 
+def op10_html_extract(spark, sf_dir):
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_substring_dedup,
+        op2_chat_format,
         op3_mixing,
         op4_toxicity,
         op5_decontamination,
@@ -70,5 +87,6 @@ QUERIES = {
         op7_language_id,
         op8_near_dedup,
         op9_exact_dedup,
+        op10_html_extract,
     )
 }
