@@ -93,7 +93,9 @@ def fingerprint(found: set[str]) -> str:
 
 
 def _value(record, path: str | None):
-    for name in path.split(".") if path else ():
+    if path is None:
+        return None
+    for name in path.split("."):
         record = record.get(name) if isinstance(record, dict) else None
     return record
 
