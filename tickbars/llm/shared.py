@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickbars.session import work_dir
 
 #: At most so many keys can each hold more than this share of the rows, so that side of a join may be broadcast.
-HOT_KEYS = 10_000
+HOT_KEYS = 100_000
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
