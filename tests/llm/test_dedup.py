@@ -1,0 +1,133 @@
+"""Exact, near and substring dedup against brute force."""
+
+import itertools
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_fixtures import HARD, LOWER, WORD, base, rows, sha
+
+from tickbars.llm import exact_dedup, near_dedup, substring_dedup
+from tickbars.llm.words import SPACED, words_of
+
+
+def test_words_agree_with_a_regular_expression():
+    texts = [t for _, t, *_ in HARD]
+    words = words_of(pa.array(texts), SPACED)
+    for i, text in enumerate(texts):
+        own = [bytes(words.data[words.starts[j] : words.ends[j]]).decode() for j in range(*words.first[i : i + 2])]
+        assert own == WORD.findall(text or "")
+
+
+def test_exact_marks(hard):
+    found = rows(exact_dedup.mark_copies(hard))
+    groups = {}
+    for id, text, *_ in HARD:
+        groups.setdefault(text or "", []).append(id)
+    want = []
+    for id, text, *_ in HARD:
+        own = groups[text or ""]
+        keep = max((x for x in own if x is not None), default=None)
+        want.append((id, keep, len(own), id == keep, sha(text or "")))
+    assert found == sorted(want, key=repr)
+
+
+def test_exact_keeps_one_row_a_text(hard, empty):
+    kept = exact_dedup.drop_copies(hard)
+    assert kept.columns == hard.columns
+    assert sorted(r.text or "" for r in kept.collect()) == sorted({t or "" for _, t, *_ in HARD})
+    assert exact_dedup.drop_copies(empty).count() == exact_dedup.mark_copies(empty).count() == 0
+
+
+def test_a_full_filter_changes_nothing(hard, monkeypatch):
+    want = rows(exact_dedup.mark_copies(hard))
+    monkeypatch.setattr(exact_dedup, "slots_for", lambda n: 1 << 16)
+    monkeypatch.setattr(exact_dedup, "merged_slots", lambda parts, slots: np.full(slots // 8, 255, np.uint8))
+    assert rows(exact_dedup.mark_copies(hard)) == want
+
+
+def near_truth(docs, k, similarity=80):
+    sets, parent = {}, {}
+    for id, text in docs:
+        w = WORD.findall((text or "").translate(LOWER))
+        sets[id] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
+        parent[id] = id
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+            u, v = top(a), top(b)
+            parent[max(u, v)] = min(u, v)
+    return {x: (len(sets[x]), top(x)) for x in sets}
+
+
+def variants(n, seed):
+    """Texts that differ from one another by more or less."""
+    random, out = np.random.default_rng(seed), []
+    for i in range(n):
+        words = base(60, 1000 * (i % 3)).split()
+        for j in random.integers(0, 60, random.integers(0, 6)):
+            words[j] = f"z{random.integers(0, 30)}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_components(spark, k, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 8)  # large buckets go through blocks of documents
+    monkeypatch.setattr(near_dedup, "BLOCK", 10)
+    docs = variants(90, k)
+    found = near_dedup.mark_near_copies(spark.createDataFrame(docs, "doc_id long, text string"), k=k)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == near_truth(docs, k)
+
+
+def test_near_on_hard_rows(hard, empty):
+    found = near_dedup.mark_near_copies(hard, k=2)
+    truth = near_truth([(i, t) for i, t, *_ in HARD if i is not None], 2)
+    assert found.count() == len(HARD)
+    for r in found.collect():
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id) == truth[r.doc_id]
+            assert r.kept == (r.doc_id == r.component_id)
+    assert near_dedup.mark_near_copies(empty).count() == 0
+    kept = near_dedup.drop_near_copies(hard, k=2)
+    assert kept.columns == hard.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in truth.items() if i == c} | {None}
+
+
+def substring_truth(docs, n=13):
+    first = {}
+    for id, text in docs:
+        w = WORD.findall(text or "")
+        for i in range(len(w) - n + 1):
+            key = tuple(w[i : i + n])
+            first[key] = min(first.get(key, id), id)
+    out = []
+    for id, text in docs:
+        w = WORD.findall(text or "")
+        gone = {j for i in range(len(w) - n + 1) if first[tuple(w[i : i + n])] < id for j in range(i, i + n)}
+        out.append((id, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
+    return sorted(out, key=repr)
+
+
+def test_substrings_on_hard_rows(hard, empty):
+    last = (1 << 63) - 1
+    docs = [(last if i is None else i, t) for i, t, *_ in HARD]
+    found = substring_dedup.remove_repeated(hard).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert rows(found.fillna(last, ["doc_id"])) == substring_truth(docs)
+    assert substring_dedup.remove_repeated(empty).count() == 0
+
+
+def test_substrings_with_frequent_sequences(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "LEAST_HOT", 3)
+    random = np.random.default_rng(4)
+    docs = [(i, " ".join(f"v{x}" for x in random.integers(0, 3, random.integers(0, 60)))) for i in range(60)]
+    docs += [(100 + i, base(14, i % 4) + f" q{i} " + base(20, 30)) for i in range(60)]
+    found = substring_dedup.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    assert rows(found.select("doc_id", "n_words", "n_removed", "kept_text")) == substring_truth(docs)

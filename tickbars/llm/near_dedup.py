@@ -32,7 +32,7 @@ from tickbars.llm.words import Words, _random, mixed, slices, words_of
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 80
 HALVES, ROWS = 10, 2
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 #: Buckets up to this size are compared pair by pair after the hub rounds, larger ones by blocks of documents.
 SMALL = 32
 BLOCK = 128
