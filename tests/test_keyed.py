@@ -92,6 +92,14 @@ def test_the_newest_batch_can_be_replaced_after_a_compaction_and_older_ones_cann
         table.write_batch(batch(spark, (8, "a", "", 1)), 1)
 
 
+def test_a_state_before_the_compaction_is_refused(spark, table):
+    for number in range(4):
+        table.write_batch(spark.createDataFrame([], table.schema), number)
+    done = table.compact(spark)
+    with pytest.raises(ValueError, match="compacted"):
+        table.latest(spark, upto=done - 1)
+
+
 def test_a_compaction_that_died_is_ignored(spark, table):
     table.write_batch(batch(spark, (1, "a", "", 1)), 0)
     table.write_batch(batch(spark, (2, "b", "", 1)), 1)

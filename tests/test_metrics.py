@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.functions.metrics import ratio
+from tickbars.functions.metrics import percent_change, ratio
 from tickbars.operators import live
 from tickbars.schemas import TICK
 
@@ -99,3 +99,9 @@ def test_latest_per_key_breaks_ties_by_content(spark):
         latest = live.latest_per_key(df.repartition(n), ["k"], ["t"])
         assert latest.columns == ["k", "t", "v"]
         assert sorted(map(tuple, latest.collect())) == [("a", 2, "z"), ("b", 5, None)]
+
+
+def test_percent_change_keeps_the_eighteenth_decimal(spark):
+    prices = "cast(0.000000000000000002 as decimal(38,18)) price, cast(0.000000000000000004 as decimal(38,18)) price_old"
+    row = spark.range(1).selectExpr(*prices.split(", ")).select(percent_change().alias("change")).first()
+    assert row.change == -50.0

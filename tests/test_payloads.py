@@ -86,6 +86,13 @@ def test_documents_without_coins(spark, tmp_path, raw):
     assert payload_ticks(land(spark, tmp_path, raw=raw)).count() == 0
 
 
+@pytest.mark.parametrize("body", ["not json", "{}", '{"data":{"stats":{},"coins":[]}}', None])
+def test_a_document_that_gives_no_coin_is_counted(spark, body):
+    documents = spark.createDataFrame([(1_700_000_000, body)], "fetched_at long, body string")
+    assert payload_ticks(documents).count() == 0
+    assert payload_rejects(documents).count() == 1
+
+
 def test_a_fetch_time_in_the_wrong_unit_rejects_the_poll(spark):
     body = json.dumps({"data": {"stats": STATS, "coins": [COIN]}})
     for seconds in (1715089953749, 2**62, -5, None):

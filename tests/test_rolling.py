@@ -61,7 +61,7 @@ def test_tumbling_windows(spark):
 
 
 @pytest.mark.parametrize("price_type", ["decimal(38,18)", "double"])
-@pytest.mark.parametrize("window", [("300 seconds", "30 seconds"), ("10 minutes", "5 minutes"), ("1 hour", "1 hour")])
+@pytest.mark.parametrize("window", [("300 seconds", "30 seconds"), ("10 minutes", "5 minutes"), ("1 hour", "1 hour"), ("5 minutes", "2 minutes")])
 def test_panes_equal_direct(spark, price_type, window):
     points = [("AB"[i % 2], i * 7 % 1700, 100 + (i * i) % 13) for i in range(300)] + [("C", 3, 5), ("C", 4, None), ("D", 9, 0)]
     df = ticks(spark, points, price_type)

@@ -30,8 +30,10 @@ def percent_market_cap(as_type: str = "double") -> Column:
 
 
 def percent_change(as_type: str = "double") -> Column:
-    """Change since ``price_old``; the difference is taken in the prices' own type, so decimals lose nothing to it."""
-    return ratio(F.col("price") - F.col("price_old"), F.col("price_old"), percent=True, as_type=as_type)
+    """Change since ``price_old``. The difference keeps 18 decimals (Spark would drop one from two decimal(38,18)); it is
+    NULL for a price of 20 digits or more before the point."""
+    exact = [F.col(name).try_cast("decimal(37,18)") for name in ("price", "price_old")]
+    return ratio(exact[0] - exact[1], F.col("price_old"), percent=True, as_type=as_type)
 
 
 def circulating_supply(as_type: str = "double") -> Column:

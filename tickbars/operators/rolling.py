@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,21 +36,38 @@ def rolling_stats(
     ).drop("window")
 
 
+_UNITS = {"microsecond": 1, "millisecond": 10**3, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
+          "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
+
+
+def _microseconds(duration: str) -> int:
+    """The length of a duration such as ``"5 minutes"`` or ``"1 hour 30 minutes"``."""
+    parts = duration.lower().removeprefix("interval ").split()
+    if not parts or len(parts) % 2 or not all(n.isdigit() and unit.rstrip("s") in _UNITS for n, unit in _pairs(parts)):
+        raise ValueError(f"not a duration of fixed length: {duration!r}")
+    return sum(int(n) * _UNITS[unit.rstrip("s")] for n, unit in _pairs(parts))
+
+
+def _pairs(parts: list[str]) -> list[tuple[str, str]]:
+    return list(zip(parts[::2], parts[1::2], strict=True))
+
+
 def rolling_stats_from_panes(
     ticks: DataFrame, duration: str = WINDOW_DURATION, slide: str = SLIDE_DURATION
 ) -> DataFrame:
-    """The same result through slide-sized panes, for feeds with many ticks per symbol and slide.
+    """The same result through panes, for feeds with many ticks per symbol and slide.
 
     Every tick is aggregated once, into its pane; only panes are expanded to windows. A window is put together from its
-    few panes (``duration / slide`` of them), and the deviation from their counts, means and squared distances, which
+    few panes, and the deviation from their counts, means and squared distances, which
     unlike a sum of squares keeps its digits when prices are large and close together.
 
-    ``duration`` has to be a multiple of ``slide``. On sparse feeds, with about one tick per pane, ``rolling_stats``
-    shuffles less.
+    Panes are as long as the greatest common divisor of ``duration`` and ``slide``, which is the slide itself where it
+    divides the duration. On sparse feeds, with about one tick per pane, ``rolling_stats`` shuffles less.
     """
+    pane = f"{gcd(_microseconds(duration), _microseconds(slide))} microseconds"
     price = F.col("price").cast("double")
     panes = (
-        ticks.groupBy(F.window("time_stamp", slide), "symbol_coin")
+        ticks.groupBy(F.window("time_stamp", pane), "symbol_coin")
         .agg(
             F.count("price").alias("n"),
             F.try_sum("price").alias("total"),

@@ -109,10 +109,10 @@ def windows(ticks: str, seconds: int, slide: int, harmonic: bool = False, where:
     extra = ", round(1 / avg(1 / nullif(cast(price as double), 0)), 6) as harmonic_mean" if harmonic else ""
     return f"""{ticks},
 placed as (
-  select symbol_coin, price,
+  select symbol_coin, price, time_stamp,
          time_bucket(interval '{slide} seconds', time_stamp, timestamp '1970-01-01') - to_seconds(i * {slide})
            as start_time
-  from ticks, range(0, {seconds // slide}) as steps(i)
+  from ticks, range(0, {-(-seconds // slide)}) as steps(i)
 )
 select symbol_coin,
        cast(sum(price) as double) / count(*) as arithmetic_mean,
@@ -120,7 +120,7 @@ select symbol_coin,
        round(stddev_samp(cast(price as double)), 6) as standard_deviation{extra},
        start_time,
        start_time + to_seconds({seconds}) as end_time
-from placed where {where} group by symbol_coin, start_time
+from placed where time_stamp < start_time + to_seconds({seconds}) and {where} group by symbol_coin, start_time
 """
 
 
@@ -240,6 +240,7 @@ order by time_stamp desc
     "rolling_stats": windows(EXACT, 300, 30),
     "rolling_stats_half_hourly": windows(EXACT, 21600, 1800),
     "rolling_stats_from_panes": windows(EXACT, 21600, 1800),
+    "rolling_stats_uneven": windows(EXACT, 18000, 7200),
     "tumbling_stats": windows(EXACT, 86400, 86400, harmonic=True),
     "rolling_history": windows(EXACT, 300, 30, where="symbol_coin = 'click'") + "order by end_time desc",
     "top_winners": leaders(EXACT, "desc"),

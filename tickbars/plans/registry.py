@@ -32,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 BAR_SUMS = ("total_volume", "total_marketcap")
 WINDOW_VALUES = ("geometric_mean", "standard_deviation")
 RUN = 1
+#: Tables of which only the newest batch counts: a board replaces the one before.
+BOARDS = ("top_winners", "top_losers", "market_share")
 
 
 def plain(df: DataFrame, round_to: dict[str, int] | None = None) -> DataFrame:
@@ -201,6 +203,11 @@ def rolling_stats_from_panes(spark, sf_dir):
     return _windows(rolling.rolling_stats_from_panes(tables.ticks(spark, sf_dir), "6 hours", "30 minutes"))
 
 
+def rolling_stats_uneven(spark, sf_dir):
+    """A duration that is no multiple of the slide, through panes."""
+    return _windows(rolling.rolling_stats_from_panes(tables.ticks(spark, sf_dir), "5 hours", "2 hours"))
+
+
 def tumbling_stats(spark, sf_dir):
     result = rolling.rolling_stats(tables.ticks(spark, sf_dir), "1 day", "1 day", harmonic=True)
     return plain(result, _rounded((*WINDOW_VALUES, "harmonic_mean"), 6))
@@ -376,7 +383,7 @@ def stream_all(spark, sf_dir):
     started = streams.start_all(landing.read_landed_stream(session, landed), root, availableNow=True)
     streams.await_all([query for _, query in started.values()])
     sizes = [
-        table.latest(spark).agg(
+        (table.last_snapshot(spark) if name in BOARDS else table.latest(spark)).agg(
             F.lit(name).alias("result"),
             F.count(F.lit(1)).alias("n"),
             F.max("end_time" if name == "rolling_stats" else "time_stamp").alias("newest"),
@@ -413,6 +420,7 @@ QUERIES: dict[str, Query] = {
         rolling_stats,
         rolling_stats_half_hourly,
         rolling_stats_from_panes,
+        rolling_stats_uneven,
         tumbling_stats,
         rolling_history,
         top_winners,

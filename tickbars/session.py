@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,9 +27,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/tickbars/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix=f"tickbars-{label}-")
+    folder = tempfile.mkdtemp(prefix=f"tickbars-{label}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def streaming_session(

@@ -101,6 +101,8 @@ class KeyedTable:
             return rows if key_filter is None else rows.where(key_filter)
 
         compacted = self._last_compacted(spark)
+        if upto is not None and upto < compacted:
+            raise ValueError(f"batch {compacted} of {self.path} is compacted; the state as of batch {upto} is gone")
         recent = latest_per_key(kept(self.log(spark, compacted, upto)), keys, [BATCH])
         if compacted < 0:
             return recent.drop(BATCH)

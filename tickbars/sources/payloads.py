@@ -32,14 +32,15 @@ def flatten_payloads(payloads: DataFrame, body: str = "body", fetched_at: str =
     """One tick per coin of each document, with ``is_valid`` telling whether every field it needs was there.
 
     The poll's totals stay beside the coins through the explode, so no join is needed. A coin with a missing or
-    unreadable field is marked and the other coins of its document go on.
+    unreadable field is marked and the other coins of its document go on. A document that cannot be read, or has no
+    coins, gives one row of its own that is not valid.
     """
     document = F.from_json(F.col(body).cast("string"), PAYLOAD, {"mode": "PERMISSIVE"})
     seconds = F.col(fetched_at)
     fetched = F.when(seconds.between(0, LAST_SECOND), F.timestamp_seconds(seconds))
     coins = payloads.select(
         fetched.alias("time_stamp"), document.getField("data").alias("data")
-    ).select("time_stamp", F.col("data.stats").alias("stats"), F.explode("data.coins").alias("coin"))
+    ).select("time_stamp", F.col("data.stats").alias("stats"), F.explode_outer("data.coins").alias("coin"))
 
     price = _money(F.col("coin.price"))
     trend = F.col("coin.sparkline")
@@ -68,5 +69,5 @@ def payload_ticks(payloads: DataFrame, **columns: str) -> DataFrame:
 
 
 def payload_rejects(payloads: DataFrame, **columns: str) -> DataFrame:
-    """The coins left out of ``payload_ticks``."""
+    """The coins left out of ``payload_ticks``, and a row for each document that gives none."""
     return flatten_payloads(payloads, **columns).where(~F.col("is_valid")).drop("is_valid")

@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from tickbars.schemas import TOPIC, TOPIC_FORMAT
 
+#: No file is left out for its age.
+ANY_AGE = "36500d"
 MESSAGE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 
@@ -24,7 +26,7 @@ def read_topic_stream(
 
 def read_message_files_stream(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
     """The same key/value messages from a folder of parquet files."""
-    reader = spark.readStream.schema(MESSAGE)
+    reader = spark.readStream.schema(MESSAGE).option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

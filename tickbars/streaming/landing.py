@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickbars.functions.messages import parse_ticks, reject_reason
+from tickbars.functions.messages import EARLIEST, LATEST, parse_ticks, reject_reason
 from tickbars.schemas import POLL_INTERVAL, TICK
 from tickbars.session import make_folder
+from tickbars.sources.ticks import ANY_AGE
 
 LANDED = T.StructType(
     [
@@ -21,10 +22,10 @@ LANDED = T.StructType(
 )
 
 
-def landed_rows(messages: DataFrame) -> DataFrame:
+def landed_rows(messages: DataFrame, earliest: str = EARLIEST, latest: str = LATEST) -> DataFrame:
     """Parsed ticks with their reject reason; rejected ones keep the raw text."""
     text = messages.select(F.col("value").cast("string").alias("value"))
-    ticks = parse_ticks(text, keep=("value",)).withColumn("reject_reason", reject_reason())
+    ticks = parse_ticks(text, keep=("value",)).withColumn("reject_reason", reject_reason(earliest, latest))
     rejected = F.col("reject_reason").isNotNull()
     return ticks.select(
         *TICK.fieldNames(),
@@ -34,26 +35,28 @@ def landed_rows(messages: DataFrame) -> DataFrame:
     )
 
 
-def accepted_ticks(messages: DataFrame) -> DataFrame:
+def accepted_ticks(messages: DataFrame, earliest: str = EARLIEST, latest: str = LATEST) -> DataFrame:
     """Parsed ticks without the rejected ones, for a query that reads the messages itself."""
-    return parse_ticks(messages).where(reject_reason().isNull())
+    return parse_ticks(messages).where(reject_reason(earliest, latest).isNull())
 
 
-def land_ticks(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def land_ticks(
+    messages: DataFrame, path: str, checkpoint: str, *, earliest: str = EARLIEST, latest: str = LATEST, **trigger
+) -> StreamingQuery:
     """Stream messages into a parquet folder, each batch exactly once, rejected ticks in a partition of their own."""
     make_folder(messages.sparkSession, path)  # readers may start before the first batch is in
-    writer = landed_rows(messages).writeStream.outputMode("append").format("parquet").partitionBy("rejected")
+    writer = landed_rows(messages, earliest, latest).writeStream.outputMode("append").format("parquet").partitionBy("rejected")
     writer = writer.option("checkpointLocation", checkpoint).option("path", path)
     return writer.trigger(**(trigger or {"processingTime": POLL_INTERVAL})).start()
 
 
 def read_landed_stream(
-    spark: SparkSession, path: str, *, files_per_batch: int | None = None, max_file_age: str = "30d"
+    spark: SparkSession, path: str, *, files_per_batch: int | None = None, max_file_age: str = ANY_AGE
 ) -> DataFrame:
     """Accepted ticks of the landing folder as a stream.
 
-    A query that was down for longer than ``max_file_age`` while landing went on would miss the files before that, so
-    it is well above Spark's default of a week; what it costs is one remembered path per file on the driver.
+    Spark skips files that are older than the newest one by more than ``max_file_age``, without a word, so the default
+    is an age that no file has; what it costs is one remembered path per file on the driver.
     """
     reader = spark.readStream.schema(LANDED).option("maxFileAge", max_file_age)
     if files_per_batch:
