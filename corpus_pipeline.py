@@ -46,7 +46,7 @@ STAGES = [
     ("mixing", mixing_stage),
 ]
 
-#: The classifier and near-dedup's components go beyond SQL; tests hold the pipeline against a brute-force version.
+#: The classifier and the components of near-dedup go beyond SQL.
 ORACLE_SQL = None
 
 
