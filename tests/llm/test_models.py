@@ -1,0 +1,158 @@
+"""Toxicity, language-model scoring and language identification: held-out quality, brute force, hard rows."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_fixtures import HARD, LOWER, WORD, rows
+
+from tickbars.llm import language_id, lm_scoring, toxicity
+
+CALM = "the river runs past old houses while you walk to market with bread and apples for your friends today".split()
+RUDE = "moron filthscum losertrash vilepig".split()
+
+
+def remarks(n, seed):
+    """Half of them with rude words, some of these disguised."""
+    random = np.random.default_rng(seed)
+    for i in range(n):
+        words = list(random.choice(CALM, 30))
+        if i % 2:
+            for at in random.integers(0, 30, 4):
+                rude = random.choice(RUDE)
+                words[at] = rude.replace("o", "0") if random.random() < 0.3 else rude
+        yield i, " ".join(words), i % 2
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    return toxicity.fit(spark.createDataFrame(list(remarks(600, 1)), "id long, text string, toxic int").repartition(3))
+
+
+def test_toxicity_on_remarks_not_learned_from(spark, toxic_model):
+    unseen = [(i, text, label) for i, text, label in remarks(200, 2)]
+    docs = spark.createDataFrame(unseen, "doc_id long, text string, features int")  # a clashing name
+    scored = toxicity.with_scores(docs, toxic_model, name="score").collect()
+    assert all(0 <= r.score <= 1 for r in scored)
+    right = sum((r.score >= toxicity.THRESHOLD) == (r.features == 1) for r in scored)
+    assert right >= 195
+    kept = toxicity.drop_toxic(docs, toxic_model)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.score < toxicity.THRESHOLD for r in scored)
+
+
+def test_toxicity_on_hard_rows(hard, empty, toxic_model):
+    scored = toxicity.with_scores(hard, toxic_model, name="score").collect()
+    assert len(scored) == len(HARD) and all(0 <= r.score <= 1 for r in scored)
+    assert len({r.score for r in scored if not (r.text or "").strip()}) == 1
+    assert toxicity.with_scores(empty, toxic_model).count() == 0
+
+
+def test_toxicity_without_labels_of_both_kinds(spark, hard):
+    labels = spark.createDataFrame([(1, 0), (2, None), (2, 0), (99, 1), (None, 1)], "doc_id long, toxic int")
+    learn = toxicity.labelled(hard, labels)
+    assert rows(learn.select("id", "toxic")) == [(1, 0), (2, 0), (2, 0)]
+    assert {r.score for r in toxicity.with_scores(hard, toxicity.fit(learn), name="score").collect()} == {0.0}
+    none = toxicity.fit(learn.limit(0))
+    assert {r.score for r in toxicity.with_scores(hard, none, name="score").collect()} == {0.0}
+
+
+def level_count(n: int) -> int:
+    """What the filter gives back for a count when the least count kept is 1."""
+    return math.ceil(2 ** (math.floor(2 * math.log2(n) + 1e-9) / 2) - 1e-9) if n else 0
+
+
+def score_truth(texts, corpus):
+    """(n_tokens, n_known, N, base score, score) of each text, with all word counts at hand."""
+    split = lambda text: [*WORD.findall((text or "").translate(LOWER)), None]
+    words, pairs = Counter(), Counter()
+    for text in corpus:
+        own = split(text)
+        words.update(own)
+        pairs.update(zip(["<", *own], own))
+    n, v = sum(words.values()), len(words)
+    for text in texts:
+        own = split(text)
+        base = [math.log10((words[w] + 1) / (n + v + 1)) for w in own]
+        score = 0.0
+        for before, w, unit in zip(["<", *own], own, base):
+            seen = words[None] if before == "<" else words[before]
+            together = min(level_count(pairs[before, w]), seen)
+            score += math.log10((together + lm_scoring.PRIOR * 10**unit) / (seen + lm_scoring.PRIOR))
+        yield len(own), sum(words[w] > 0 for w in own), n, sum(base), score
+
+
+@pytest.fixture(scope="module")
+def scored_truth():
+    learned = [t for id, t, *_ in HARD if id is None or id % 3]
+    return list(score_truth([t for _, t, *_ in HARD], learned))
+
+
+def by_text(found):
+    return sorted(found, key=lambda r: (r[0], r[1], r[3]))
+
+
+@pytest.mark.parametrize("frequent", [lm_scoring.FREQUENT, 1 << 9])
+def test_scores_against_brute_force(hard, scored_truth, monkeypatch, frequent):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)  # the smaller sends rare words through the join
+    model, counts = lm_scoring.fit(hard.where("doc_id is null or doc_id % 3 <> 0"))
+    scored = lm_scoring.with_scores(hard, model, counts, carry=["doc_id"])
+    found = by_text([tuple(r)[1:] for r in scored.collect()])
+    want = by_text(scored_truth)
+    assert [r[:3] for r in found] == [r[:3] for r in want]
+    assert [r[3] for r in found] == pytest.approx([r[3] for r in want], rel=1e-9)
+    if frequent > 1 << 9:
+        assert [r[4] for r in found] == pytest.approx([r[4] for r in want], rel=1e-4)
+    # Where counts are bounds, a probability is never above the one of exact counts.
+    assert all(mine[4] <= exact[4] + 1e-4 and mine[4] >= 1.05 * exact[4] for mine, exact in zip(found, want))
+
+
+def test_scores_of_nothing(hard, empty):
+    model, counts = lm_scoring.fit(empty)
+    scored = lm_scoring.with_scores(hard, model, counts, carry=["doc_id"]).collect()
+    assert len(scored) == len(HARD)
+    assert all(r.n_known == r.train_tokens == 0 and math.isfinite(r.score) for r in scored)
+    assert lm_scoring.with_scores(empty, model, counts, carry=["doc_id"]).count() == 0
+
+
+SPOKEN = {
+    "aa": "ka kama lakoma tukana makalu nakomu",
+    "bb": "schreist gruend pflicht strumpf zwerg knecht",
+    "cc": "où très été où élève façon",
+}
+
+
+def spoken(n, seed):
+    random = np.random.default_rng(seed)
+    for i in range(n):
+        lang = sorted(SPOKEN)[i % 3]
+        yield i, " ".join(random.choice(SPOKEN[lang].split(), random.integers(3, 12))), lang
+
+
+@pytest.fixture(scope="module")
+def language_model(spark):
+    learn = [*spoken(240, 1), (900, None, "aa"), (901, "ka kama", None)]
+    return language_id.fit(spark.createDataFrame(learn, "id long, text string, lang string").repartition(3))
+
+
+def test_languages_of_texts_not_learned_from(spark, language_model):
+    docs = spark.createDataFrame(list(spoken(90, 2)), "doc_id long, text string, lang string")
+    found = language_id.with_language(docs, language_model).collect()
+    assert sum(r.lang_pred == r.lang for r in found) >= 88
+    assert all(1 / 3 <= r.lang_score <= 1 for r in found)
+
+
+def test_languages_of_hard_rows(hard, empty, language_model):
+    found = language_id.with_language(hard, language_model).collect()
+    assert len(found) == len(HARD)
+    for r in found:
+        lettered = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred in SPOKEN) if lettered else (r.lang_pred, r.lang_score) == ("und", 0.0)
+    assert language_id.with_language(empty, language_model).count() == 0
+
+
+def test_no_language_learned(hard, empty):
+    model = language_id.fit(empty.selectExpr("doc_id id", "text", "lang"))
+    found = language_id.with_language(hard, model).collect()
+    assert {(r.lang_pred, r.lang_score) for r in found} == {("und", 0.0)}
