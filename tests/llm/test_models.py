@@ -105,7 +105,18 @@ def test_scores_against_brute_force(hard, scored_truth, monkeypatch, frequent):
     if frequent > 1 << 9:
         assert [r[4] for r in found] == pytest.approx([r[4] for r in want], rel=1e-4)
     # Where counts are bounds, a probability is never above the one of exact counts.
-    assert all(mine[4] <= exact[4] + 1e-4 and mine[4] >= 1.05 * exact[4] for mine, exact in zip(found, want))
+    assert [r[4] for r in found] == pytest.approx([r[4] for r in want], rel=0.02)
+
+
+def test_the_filter_gives_back_every_count(hard, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 1)  # all words go into the filter
+    model, counts = lm_scoring.fit(hard)
+    stored = counts.where(f"n < {model.tokens}").toPandas()
+    want = lm_scoring.levels(stored["n"].to_numpy().astype(float), model.least)
+    got = model.level(stored["hash"].to_numpy().view(np.uint64))
+    assert (got >= want).all() and (got > want).mean() < 0.01
+    absent = np.random.default_rng(5).integers(0, 1 << 62, 20_000).astype(np.uint64)
+    assert (model.level(absent) > 0).mean() < 0.01
 
 
 def test_scores_of_nothing(hard, empty):
