@@ -65,3 +65,15 @@ def test_ranked_winners_keep_ties(spark):
     df = metrics(spark, DATA + [("e", 1, 1.0, -7.0, 1.0, 1.0)])
     assert sorted(names(boards.ranked_winners(df, 1))) == ["a", "b"]
     assert sorted(names(boards.ranked_winners(df, 3))) == ["a", "b", "d", "e"]
+
+
+@pytest.mark.parametrize("pick", ["max", "latest"])
+def test_ranked_winners_aggregate_once(spark, sf_dir, pick):
+    from tickbars.functions.metrics import percent_change
+    from tickbars.plans import tables
+
+    ticks = tables.ticks(spark, sf_dir).withColumn("percent_change", percent_change())
+    ranked = boards.ranked_winners(ticks, pick=pick)
+    assert ranked.collect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    assert "ReusedExchange" in ranked._jdf.queryExecution().explainString(mode)

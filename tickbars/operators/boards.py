@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.operators.ranking import top_ranked
 from tickbars.schemas import BOARD_SIZE
 
 
@@ -56,5 +55,12 @@ def market_share(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") ->
 
 
 def ranked_winners(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:
-    """Coins whose rank by change is at most ``n``, ties included; on a stream, for use inside a micro-batch."""
-    return top_ranked(leaders(metrics, pick), "percent_change", n)
+    """Coins whose rank by change is at most ``n``, ties included; on a stream, for use inside a micro-batch.
+
+    As in ``top_ranked``, a filter against the n-th largest change. That change is looked up over whole rows, so that
+    both sides are the same aggregate: Spark scans and shuffles the ticks for one of them and reuses it for the other.
+    """
+    coins = leaders(metrics, pick).where(F.col("percent_change").isNotNull())
+    others = [name for name in coins.columns if name != "percent_change"]
+    best = coins.orderBy(F.col("percent_change").desc(), *others).limit(n)
+    return coins.where(F.col("percent_change") >= best.agg(F.min("percent_change")).scalar())

@@ -176,6 +176,17 @@ def message_fields(time: str) -> str:
 """
 
 
+def six_decimals(numerator: str, denominator: str) -> str:
+    """A ratio of two whole numbers (cents, say) to six decimals, halves away from zero, by whole-number arithmetic."""
+    a, b = (f"cast(round({x}) as hugeint)" for x in (numerator, denominator))
+    return f"sign({a}) * ((2000000 * abs({a}) + {b}) // nullif(2 * {b}, 0)) / 1e6"
+
+
+def twelve_decimals(column: str) -> str:
+    """The shortest text of a double, to twelve decimals at most."""
+    return f"rtrim(rtrim(cast(cast(cast({column} as varchar) as decimal(38,12)) as varchar), '0'), '.')"
+
+
 HOURLY_BATCHES = newest_price(HOURS, "case when k < 33 then 0 when k < 66 then 1 else 2 end")
 
 REJECTS = """
@@ -199,6 +210,13 @@ ORACLE: dict[str, str] = {
 select name, format('{{:,.2f}}', min(open)) as min_price_formatted,
        format('{{:,.2f}}', max(open)) as max_price_formatted
 from bars group by name
+""",
+    "formatted_bars": f"""{BARS}
+select name, strftime(date, '%Y-%m') as "month",
+       {twelve_decimals("max(high)")} as highest_high_formatted,
+       {twelve_decimals("arg_min(open, struct_pack(a := date, b := sno, c := open, d := close))")}
+         as first_open_formatted
+from bars group by all
 """,
     "top_bars": top_bars("market_cap"),
     "top_bars_by_volume": top_bars("volume"),
@@ -219,6 +237,14 @@ select * exclude (r) from (
 ) where r = 1
 """,
     "tick_metrics": f"{EXACT} select id, percent_volume, percent_market_cap, percent_change, cir_supply from metrics",
+    "tick_metrics_decimal": f"""{EXACT}
+select id,
+       {six_decimals("volume * 10000", "total_24_volume * 100")} as percent_volume,
+       {six_decimals("market_cap * 10000", "total_market_cap * 100")} as percent_market_cap,
+       {six_decimals("(price - price_old) * 10000", "price_old * 100")} as percent_change,
+       {six_decimals("market_cap * 100", "price * 100")} as cir_supply
+from metrics
+""",
     "live_prices": live_rows(EXACT),
     "snapshot_totals": f"""{EXACT}
 select id,
@@ -282,7 +308,9 @@ select * from ({HOURLY_BATCHES}) where symbol_coin = 'view' and time_stamp < '20
     "stream_rolling_stats": windows(SECONDS, 300, 30),
     "stream_top_winners": leaders(SECONDS, "desc"),
     "stream_top_losers": leaders(SECONDS, "asc"),
+    "stream_top_winners_batches": leaders(SECONDS, "desc"),
     "stream_market_share": share(SECONDS),
+    "stream_market_share_batches": share(SECONDS),
     "stream_landing": REJECTS,
     "stream_all": f"""{SECONDS}
 select 'live_prices' as result, count(distinct (symbol_coin, time_stamp)) as n, max(time_stamp) as newest from ticks

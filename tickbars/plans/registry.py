@@ -108,6 +108,13 @@ def formatted_summary(spark, sf_dir):
     return shown.select("name", "min_price_formatted", "max_price_formatted")
 
 
+def formatted_bars(spark, sf_dir):
+    """Month bars with the long number format: up to twelve decimals."""
+    months = rollups.bars_by_month(tables.bars(spark, sf_dir))
+    shown = with_formatted(months, ["highest_high", "first_open"], digits=12)
+    return shown.select("name", "month", "highest_high_formatted", "first_open_formatted")
+
+
 def top_bars(spark, sf_dir):
     return plain(ranking.top_bars(tables.bars(spark, sf_dir)))
 
@@ -170,6 +177,17 @@ def tick_metrics(spark, sf_dir):
     )
 
 
+def tick_metrics_decimal(spark, sf_dir):
+    """The ratios in decimals of the message schema, divided to six decimals."""
+    wide = ["volume", "market_cap", "price", "price_old", "total_24_volume", "total_market_cap"]
+    ticks = _ticks(spark, sf_dir).withColumns({name: F.col(name).cast("decimal(38,18)") for name in wide})
+    return plain(
+        live.with_metrics(ticks, "decimal").select(
+            "id", "percent_volume", "percent_market_cap", "percent_change", "cir_supply"
+        )
+    )
+
+
 def live_prices(spark, sf_dir):
     return plain(live.live_prices(_ticks(spark, sf_dir)))
 
@@ -326,15 +344,20 @@ def stored_price_history(spark, sf_dir):
 # Streams: the ticks as message files, one availableNow run into a fresh table, and the table read back ----------------
 
 
-def _message_stream(spark: SparkSession, sf_dir: str, label: str) -> tuple[SparkSession, str, DataFrame]:
+def _message_stream(
+    spark: SparkSession, sf_dir: str, label: str, batches: int = 1
+) -> tuple[SparkSession, str, DataFrame]:
+    """The messages as a stream; for several batches they are written as that many files and read one file at a time."""
     root = work_dir(spark, label)
-    publish_to_files(_ticks(spark, sf_dir), f"{root}/messages")
+    ticks = _ticks(spark, sf_dir)
+    publish_to_files(ticks.repartition(batches) if batches > 1 else ticks, f"{root}/messages")
     session = streaming_session(spark)
-    return session, root, read_message_files_stream(session, f"{root}/messages")
+    one_by_one = 1 if batches > 1 else None
+    return session, root, read_message_files_stream(session, f"{root}/messages", files_per_batch=one_by_one)
 
 
-def _run(spark: SparkSession, sf_dir: str, name: str) -> KeyedTable:
-    _, root, messages = _message_stream(spark, sf_dir, name)
+def _run(spark: SparkSession, sf_dir: str, name: str, batches: int = 1) -> KeyedTable:
+    _, root, messages = _message_stream(spark, sf_dir, name, batches)
     table, query = streams.start_query(name, landing.accepted_ticks(messages), root, availableNow=True)
     streams.await_all([query])
     return table
@@ -353,6 +376,12 @@ def stream_top_winners(spark, sf_dir):
     return plain(lookups.winners_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
+def stream_top_winners_batches(spark, sf_dir):
+    """The ticks in three batches: the board after the last is that of all ticks."""
+    table = _run(spark, sf_dir, "top_winners", batches=3)
+    return plain(lookups.winners_view(table.last_snapshot(spark)).drop("snapshot_id"))
+
+
 def stream_top_losers(spark, sf_dir):
     table = _run(spark, sf_dir, "top_losers")
     return plain(lookups.losers_view(table.last_snapshot(spark)).drop("snapshot_id"))
@@ -363,6 +392,11 @@ def stream_market_share(spark, sf_dir):
     return plain(lookups.share_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
+def stream_market_share_batches(spark, sf_dir):
+    table = _run(spark, sf_dir, "market_share", batches=3)
+    return plain(lookups.share_view(table.last_snapshot(spark)).drop("snapshot_id"))
+
+
 def stream_landing(spark, sf_dir):
     """Damaged messages landed by the shared step: its accepted ticks and its quarantine, counted by reason."""
     root = work_dir(spark, "landing")
@@ -405,6 +439,7 @@ QUERIES: dict[str, Query] = {
         year_bar_lookup,
         asset_summary,
         formatted_summary,
+        formatted_bars,
         top_bars,
         top_bars_by_volume,
         csv_bars,
@@ -413,6 +448,7 @@ QUERIES: dict[str, Query] = {
         job_asset_summary,
         job_top_bars,
         tick_metrics,
+        tick_metrics_decimal,
         live_prices,
         snapshot_totals,
         latest_ticks,
@@ -438,8 +474,10 @@ QUERIES: dict[str, Query] = {
         stream_live_prices,
         stream_rolling_stats,
         stream_top_winners,
+        stream_top_winners_batches,
         stream_top_losers,
         stream_market_share,
+        stream_market_share_batches,
         stream_landing,
         stream_all,
     )
