@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from llm_fixtures import HARD, LOWER, WORD, base, rows, sha
 
-from tickbars.llm import exact_dedup, near_dedup, substring_dedup
+from tickbars.llm import decontaminate, exact_dedup, near_dedup, substring_dedup
 from tickbars.llm.words import SPACED, words_of
 
 
@@ -46,6 +46,24 @@ def test_a_full_filter_changes_nothing(hard, monkeypatch):
     assert rows(exact_dedup.mark_copies(hard)) == want
 
 
+@pytest.mark.parametrize("words", range(15))
+def test_sequences_of_few_words(words):
+    own = words_of(pa.array([base(words)]))
+    for n in range(1, 15):
+        assert len(own.sequences(n)) == words
+        assert own.can_start(n).sum() == max(words - n + 1, 0)
+
+
+@pytest.mark.parametrize("words", [1, 3, 7, 12, 13])
+def test_a_short_text_alone(spark, words):
+    docs = spark.createDataFrame([(1, base(words))], "doc_id long, text string").coalesce(1)
+    assert rows(near_dedup.mark_near_copies(docs)) == [(1, max(words - 4, 1), 1, True)]
+    found = substring_dedup.remove_repeated(docs).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert rows(found) == [(1, words, 0, base(words))]
+    items = docs.withColumnRenamed("doc_id", "item_id")
+    assert [tuple(r)[:4] for r in rows(decontaminate.report(docs, items))] == [(1, words, words, 1)]
+
+
 def near_truth(docs, k, similarity=80):
     sets, parent = {}, {}
     for id, text in docs:

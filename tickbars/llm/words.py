@@ -109,7 +109,7 @@ def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros(len(hashes), np.uint64)
     for i in range(n):
         out *= _MULTIPLIER
-        out[: len(hashes) - i] += hashes[i:]
+        out[: max(len(hashes) - i, 0)] += hashes[i:]
     return mixed(out)
 
 
