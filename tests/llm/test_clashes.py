@@ -1,0 +1,88 @@
+"""Columns beside the ones an operator reads may have any name: they are carried along, or replaced by an added one."""
+
+import pytest
+from llm_fixtures import rows
+from pyspark.sql import functions as F
+
+from tickbars.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language_id,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    substring_dedup,
+    toxicity,
+)
+
+NAMES = (
+    "id key keep_id group_size kept component_id n_shingles rep hub node root SIZE source_size target copies taken words "
+    "n_words n_removed kept_text spans items hash n rank toxicity features probability prediction lang_pred lang_score "
+    "toxic weight __id __key __n __host __paths host main_text a.b"
+).split()
+NEVER_LEARNED = toxicity.Model(toxicity.Lexicon([], []), 0.1)
+
+
+@pytest.fixture(scope="module")
+def crowded(hard):
+    return hard.select("*", *[F.lit(i).alias(name) for i, name in enumerate(NAMES)])
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.createDataFrame([(1, "w5 w6 w7"), (2, None)], "item_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    texts = [(i, "calm words of the day" if i % 2 else "filthscum moron you are", 1 - i % 2) for i in range(300)]
+    return toxicity.fit(spark.createDataFrame(texts, "id long, text string, toxic int"))
+
+
+OPERATORS = {
+    "substrings": lambda docs, items: substring_dedup.remove_repeated(docs),
+    "mix": lambda docs, items: mixing.mix(docs, mixing.repeating_weights(docs)),
+    "no model": lambda docs, items: toxicity.with_scores(docs, NEVER_LEARNED),
+    "hits": lambda docs, items: decontaminate.with_hits(docs, items),
+    "uncontaminated": lambda docs, items: decontaminate.drop_contaminated(docs, items),
+    "report": lambda docs, items: decontaminate.report(docs, items),
+    "language": lambda docs, items: language_id.with_language(
+        docs, language_id.fit(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    ),
+    "exact marks": lambda docs, items: exact_dedup.mark_copies(docs),
+    "one of each text": lambda docs, items: exact_dedup.drop_copies(docs).drop("doc_id"),
+    "near marks": lambda docs, items: near_dedup.mark_near_copies(docs),
+    "near": lambda docs, items: near_dedup.drop_near_copies(docs),
+    "pages": lambda docs, items: html_extract.extract(docs, url="source", html="text"),
+}
+
+
+def check(plain, found):
+    assert rows(found.select(*plain.columns)) == rows(plain)
+    if "text" in plain.columns:  # whole rows, so with their further columns
+        carried = [n for n in NAMES if n.lower() not in {c.lower() for c in plain.columns}]
+        for row in found.select(*[f"`{n}`" for n in carried]).collect():
+            assert list(row) == [NAMES.index(n) for n in carried]
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_extra_columns(hard, crowded, items, name):
+    check(OPERATORS[name](hard, items), OPERATORS[name](crowded, items))
+
+
+def test_extra_columns_of_scored_rows(hard, crowded, toxic_model):
+    assert toxic_model.trees is not None
+    check(toxicity.with_scores(hard, toxic_model), toxicity.with_scores(crowded, toxic_model))
+    check(toxicity.drop_toxic(hard, toxic_model), toxicity.drop_toxic(crowded, toxic_model))
+
+
+def test_extra_columns_of_joined_hits(hard, crowded, items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+    check(decontaminate.drop_contaminated(hard, items), decontaminate.drop_contaminated(crowded, items))
+
+
+def test_carried_columns_of_scores(crowded):
+    model, counts = lm_scoring.fit(crowded)
+    scored = lm_scoring.with_scores(crowded, model, counts, carry=["doc_id", "n", "hash"])
+    assert {(r.n, r.hash) for r in scored.collect()} == {(NAMES.index("n"), NAMES.index("hash"))}

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickbars.llm.shared import on_own_columns
 from tickbars.llm.words import ALPHANUMERIC, Words, contains, ranges, segments_min, sequence_hashes, slices, words_of
 
 WINDOW = 13
@@ -155,7 +156,13 @@ def _hits(words: Words, benchmark: Windows) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with n_words, spans (runs of hit words) and items (ids of items with a window in the text, ordered)."""
+    """The rows with n_words, spans (runs of hit words) and items (ids of items with a window in the text, ordered),
+    which replace columns of these names."""
+    added = ["n_words", "spans", "items"]
+    return on_own_columns(docs, [text], added, lambda rows: _found(rows, benchmark, text))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
     windows = benchmark_windows(benchmark).persist()
     try:
         if windows.count() > MOST_BROADCAST:
@@ -294,7 +301,8 @@ def contaminated():
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows that are not contaminated, with their columns."""
-    return with_hits(docs, benchmark, text).where(~contaminated()).select(*docs.columns)
+    clean = lambda rows: _found(rows, benchmark, text).where(~contaminated())
+    return on_own_columns(docs, [text], [], clean)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.llm.shared import joined_to_groups, lower_hex, written
+from tickbars.llm.shared import joined_to_groups, lower_hex, on_own_columns, written
 
 MAX_SLOTS = 1 << 28
 _SEGMENT = 1 << 16
@@ -145,6 +145,10 @@ def mark_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. Of rows equal in text and id one stays."""
+    return on_own_columns(docs, [id, text], [], lambda rows: _dropped(rows, id, text))
+
+
+def _dropped(docs: DataFrame, id: str, text: str) -> DataFrame:
     marked, total = _digests(docs, text)
     repeated = marked.where(_MAYBE).drop(_MAYBE)
     groups = written(_groups(repeated.select(id, _DIGEST), id), "groups")

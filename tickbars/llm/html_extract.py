@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.llm.shared import joined_to_groups, written
+from tickbars.llm.shared import joined_to_groups, on_own_columns, written
 from tickbars.llm.words import slices
 
 GAMMA = 0.9
@@ -261,7 +261,11 @@ def unimportant_branches(pages: DataFrame, url: str = "url", html: str = "html")
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """The rows with their main text, in column main_text."""
+    """The rows with their main text, in column main_text (another one of that name is replaced)."""
+    return on_own_columns(pages, [url, html], ["main_text"], lambda rows: _extracted(rows, url, html))
+
+
+def _extracted(pages: DataFrame, url: str, html: str) -> DataFrame:
     hosted = pages.withColumn("__host", host(F.col(url)))
     low = unimportant_branches(pages, url, html)
     sizes = hosted.groupBy("__host").agg(F.count(F.lit(1)).alias("__n"))
@@ -275,10 +279,9 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     total = hosts.agg(F.sum("__n").alias("n")).first().n or 0
 
     def texts(batches):
-        names = None
         for batch in batches:
             for part in slices(batch, html):
-                names = names or [n for n in part.schema.names if not n.startswith("__")]
+                names = [n for n in part.schema.names if n != "__paths"]
                 own = [
                     main_text(page, frozenset(paths))
                     for page, paths in zip(

@@ -24,7 +24,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.llm.shared import written
+from tickbars.llm.shared import on_own_columns, written
 from tickbars.llm.words import mixed, slices
 
 BUCKETS = 1 << 15
@@ -227,7 +227,11 @@ def _predicted(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
 def with_language(
     docs: DataFrame, model: Model, text: str = "text", name: str = "lang_pred", score: str = "lang_score"
 ) -> DataFrame:
-    """The rows with a learned language and its probability."""
+    """The rows with a learned language and its probability, which replace columns of their names."""
+    return on_own_columns(docs, [text], [name, score], lambda rows: _named(rows, model, text, name, score))
+
+
+def _named(docs: DataFrame, model: Model, text: str, name: str, score: str) -> DataFrame:
     if not model.languages:
         return docs.withColumn(name, F.lit(UNKNOWN)).withColumn(score, F.lit(0.0))
     known = docs.sparkSession.sparkContext.broadcast(model)

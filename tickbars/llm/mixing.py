@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.shared import joined_to_groups, written
+from tickbars.llm.shared import joined_to_groups, on_own_columns, written
 
 MOST_COPIES = 3
 SEED = 20
@@ -30,6 +30,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _KEY, _SIZE, _DRAW, _RANK, _BIN, _SHARE = "__key", "__size", "__draw", "__rank", "__bin", "__share"
 _EXPECTED, _WHOLE, _ROWS = "__expected", "__whole", "__rows"
 
+ADDED = ["size", "source_size", "target", "copies", "taken"]
+
 
 def source_key(source: Column) -> Column:
     """A text that is never null, ordered as the sources are by code point with null last."""
@@ -77,8 +79,16 @@ def mix(
     """The rows of docs with size, source_size, target, copies and taken (words, repeats counted).
 
     ``weights`` has one row per source: ``source`` and an integer ``weight``; a source without one gets nothing. The
-    optional column ``weight`` of docs (0 or more, null is 0) makes documents of one source unequally likely.
+    optional column ``weight`` of docs (0 or more, null is 0) makes documents of one source unequally likely. Columns of
+    docs that are named like the new ones are replaced by them.
     """
+    used = [id, text, source, *([weight] if weight else [])]
+    return on_own_columns(docs, used, ADDED, lambda rows: _mixed(rows, weights, id, text, source, weight, seed))
+
+
+def _mixed(
+    docs: DataFrame, weights: DataFrame, id: str, text: str, source: str, weight: str | None, seed: int
+) -> DataFrame:
     sized = docs.withColumn(_SIZE, F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
     sized = sized.withColumn(_KEY, source_key(F.col(source))).withColumn(_DRAW, draw(F.col(id), seed))
     own = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)

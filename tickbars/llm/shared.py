@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,21 @@ def joined_to_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size:
     return rows.join(hot, keys).unionByName(rest.join(cold, keys))
 
 
+def on_own_columns(
+    docs: DataFrame, used: list[str], added: list[str], operate: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """What ``operate`` makes of the rows, whose other columns go through it under names that clash with nothing.
+
+    The result has the columns of the rows and the added ones; a column named like an added one is replaced by it.
+    """
+    aside = {name: f"__aside_{i}" for i, name in enumerate(docs.columns) if name not in used}
+    replaced = {name.lower() for name in added}
+    kept = [aside.get(n, n) for n in docs.columns if n.lower() not in replaced]
+    back = {new: old for old, new in aside.items()}
+    made = operate(docs.toDF(*[aside.get(n, n) for n in docs.columns]))
+    return made.select(*[F.col(n).alias(back.get(n, n)) for n in kept], *added)
+
+
 def crc_fold(column: Column, folds: int) -> Column:
     """The fold of a document: crc32 of its id as text, modulo the number of folds."""
     return F.crc32(column.cast("string")) % folds

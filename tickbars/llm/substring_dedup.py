@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.llm.exact_dedup import packed_probes, merged_slots, probed, slots_for
-from tickbars.llm.shared import written
+from tickbars.llm.shared import on_own_columns, written
 from tickbars.llm.words import Words, contains, mixed, ranges, segments_min, slices, words_of
 
 WINDOW = 13
@@ -229,7 +229,13 @@ def _marks(table: pa.Table) -> pa.Table:
 
 
 def remove_repeated(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with n_words, n_removed and kept_text: the words that stay, joined by one space."""
+    """The rows with n_words, n_removed and kept_text (the words that stay, joined by one space), which replace columns
+    of these names."""
+    added = ["n_words", "n_removed", "kept_text"]
+    return on_own_columns(docs, [id, text], added, lambda rows: _removed(rows, id, text))
+
+
+def _removed(docs: DataFrame, id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     key, own = F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.coalesce(F.col(id).cast("long"), F.lit(_LAST_ID))
     texts = docs.where(F.length(text) > 0).select(own.alias("id"), key.alias("key"), F.col(text).alias("text"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.llm.shared import written
+from tickbars.llm.shared import on_own_columns, written
 from tickbars.llm.words import Words, ranges, slices, words_of
 
 MOST_LABELLED = 20_000
@@ -261,7 +261,11 @@ def _calibrated(raw: Column, model: Model) -> Column:
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
-    """The rows with a score from 0 to 1."""
+    """The rows with a score from 0 to 1, which replaces a column of its name."""
+    return on_own_columns(docs, [text], [name], lambda rows: _scored(rows, model, text, name))
+
+
+def _scored(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
     if model.trees is None:
         return docs.withColumn(name, F.lit(float(model.share)))
     vectors = with_features(docs, model.lexicon, text, "__features").withColumn(
