@@ -108,6 +108,22 @@ def test_scores_against_brute_force(hard, scored_truth, monkeypatch, frequent):
     assert [r[4] for r in found] == pytest.approx([r[4] for r in want], rel=0.02)
 
 
+@pytest.mark.parametrize("frequent", [lm_scoring.FREQUENT, 1 << 9, 2])
+def test_scores_of_a_corpus_larger_than_the_filter(hard, scored_truth, monkeypatch, frequent):
+    learned = hard.where("doc_id is null or doc_id % 3 <> 0")
+    monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
+    fits, _ = lm_scoring.fit(learned)
+    monkeypatch.setattr(lm_scoring, "ENTRIES", 200)  # of more than 12,000
+    model, counts = lm_scoring.fit(learned)
+    assert fits.least == 1 and model.least > 1 and model.size < fits.size
+    found = by_text([tuple(r)[1:] for r in lm_scoring.with_scores(hard, model, counts, carry=["doc_id"]).collect()])
+    want = by_text(scored_truth)
+    assert [r[:3] for r in found] == [r[:3] for r in want]
+    assert [r[3] for r in found] == pytest.approx([r[3] for r in want], rel=1e-9)
+    # Words that are not frequent have bounds for counts.
+    assert [r[4] for r in found] == pytest.approx([r[4] for r in want], rel=0.002 if frequent > 1 << 9 else 0.02)
+
+
 def test_the_filter_gives_back_every_count(hard, monkeypatch):
     monkeypatch.setattr(lm_scoring, "FREQUENT", 1)  # all words go into the filter
     model, counts = lm_scoring.fit(hard)

@@ -1,11 +1,15 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Counts of word pairs and words are gathered from the whole corpus by shuffle. The model keeps the sequences with a count
-of at least ``tokens / KEPT`` and stores each count c on a logarithmic scale: level = 1 + floor(2 * log2(c / least)), by
-entering the sequence once for every level from 1 on into one Bloom filter. A lookup probes level after level until one
-is missing and reads the count back as the lower bound of the last one found. As there are at most KEPT sequences of a
-count ``tokens / KEPT`` or more, weighted by levels at most 2 * KEPT entries for each order, the filter that is broadcast
-never exceeds 4 * KEPT * BITS bits (117 MB), whatever the corpus; it is sized for the entries that there are.
+Counts of word pairs and words are gathered from the whole corpus by shuffle. Each count c is stored on a logarithmic
+scale: level = 1 + floor(2 * log2(c / least)), by entering the sequence once for every level from 1 on into one Bloom
+filter. A lookup probes level after level until one is missing and reads the count back as the lower bound of the last
+one found. ``least`` is the smallest power of two with which there are at most ENTRIES entries, so the filter that is
+broadcast never exceeds ENTRIES * BITS bits (175 MB), whatever the corpus; it is sized for the entries that there are.
+All bits of a sequence are in one segment, which its hash's highest bits name. Counts are dealt by these bits too, so the
+tasks that build the filter send each segment about once.
+
+No sequence is left out: where ``least`` is above 1, those not found above level 1 (rarer, unseen, or false positives of
+one level) leave their probability open, and their exact counts are joined to it.
 
 A token's probability is Bayesian smoothed: (count(u, w) + PRIOR * p(w)) / (count(u) + PRIOR), p(w) = (count(w) + 1) /
 (tokens + types + 1). Counts of frequent words (at least ``tokens / FREQUENT``, so at most FREQUENT of them) are exact and
@@ -33,7 +37,8 @@ from tickbars.llm.exact_dedup import _SEGMENT
 from tickbars.llm.shared import written
 from tickbars.llm.words import Words, mixed, slices, words_of
 
-KEPT = 1 << 24
+#: The most entries of the filter that is broadcast; sequences that do not fit are looked up by joins.
+ENTRIES = 100_000_000
 FREQUENT = 1 << 21
 BITS = 14
 PROBES = 6
@@ -42,6 +47,8 @@ PRIOR = 3000.0
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543211)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SLICE = 2 << 20
+#: Tokens that a task counts before it sends them, and sequences that it enters at once.
+CHUNK = 1 << 22
 
 
 def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,14 +70,27 @@ def pair_hashes(before: np.ndarray, token: np.ndarray) -> np.ndarray:
 def _counted(texts: DataFrame, pairs: bool) -> DataFrame:
     """Rows (hash, n) of all words, or pairs, of a frame (text)."""
 
+    def sent(held):
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        for at in range(0, len(found), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(found[part].view(np.int64)), pa.array(n[part])], ["hash", "n"])
+
     def counted(batches):
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 token, before, _ = tokens(words_of(part.column("text"), lower=True))
-                found, n = np.unique(pair_hashes(before, token) if pairs else token, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["hash", "n"])
+                held.append(pair_hashes(before, token) if pairs else token)
+                size += len(token)
+                if size >= CHUNK:
+                    yield from sent(held)
+                    held, size = [], 0
+        if size:
+            yield from sent(held)
 
-    return texts.mapInArrow(counted, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    dealt = texts.mapInArrow(counted, "hash long, n long").withColumn("high", F.shiftrightunsigned("hash", 52))
+    return dealt.repartition("high").groupBy("high", "hash").agg(F.sum("n").alias("n")).drop("high")
 
 
 def levels(counts: np.ndarray, least: float) -> np.ndarray:
@@ -82,17 +102,22 @@ def count_of(level: np.ndarray, least: float) -> np.ndarray:
     return np.where(level > 0, np.ceil(least * 2.0 ** ((level - 1) / 2) - 1e-9), 0.0)
 
 
-def probe_bits(hashes: np.ndarray, level: np.ndarray | int, probe: int, size: int) -> np.ndarray:
-    """One probe's bit for entries (hash, level), by double hashing."""
+def segment_of(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The segment that has all bits of a sequence, in the order of the hashes."""
+    return (hashes >> np.uint64(32)) * np.uint64(size // _SEGMENT) >> np.uint64(32)
+
+
+def places(hashes: np.ndarray, level: np.ndarray | int, probe: int) -> np.ndarray:
+    """One probe's bit in the segment for entries (hash, level), by double hashing."""
     a = mixed(hashes + np.uint64(0x632BE59BD9B4E019) * np.asarray(level, np.uint64))
-    return ((a + np.uint64(probe) * (a >> np.uint64(32) | np.uint64(1))) % np.uint64(size)).astype(np.int64)
+    return (a + np.uint64(probe) * (a >> np.uint64(32) | np.uint64(1))) & np.uint64(_SEGMENT - 1)
 
 
 @dataclass
 class Model:
     tokens: int
     types: int
-    least: float
+    least: int
     size: int
     bits: np.ndarray
     hashes: np.ndarray
@@ -106,14 +131,19 @@ class Model:
         level = 1
         while len(left):
             for probe in range(PROBES):
-                at = probe_bits(hashes[left], level, probe, self.size)
+                some = hashes[left]
+                at = (segment_of(some, self.size) * np.uint64(_SEGMENT) + places(some, level, probe)).astype(np.int64)
                 left = left[(self.bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)]
             out[left] = level
             level += 1
         return out
 
-    def word_counts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lower and upper bounds of the words' counts, and which are exact."""
+    def is_open(self, level: np.ndarray) -> np.ndarray:
+        """Which levels leave the count to a join."""
+        return (level <= 1) & (self.least > 1)
+
+    def word_counts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the words' counts, which are exact and which are left to a join."""
         at = np.searchsorted(self.hashes, hashes)
         at[at == len(self.hashes)] = 0
         exact = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
@@ -125,68 +155,102 @@ class Model:
         level = self.level(hashes[rest])
         low[rest] = count_of(level, self.least)
         high[rest] = count_of(level + 1, self.least)
-        return low, high, exact
+        left = np.zeros(len(hashes), bool)
+        left[rest] = self.is_open(level)
+        return low, high, exact, left
 
 
 def _filter_bits(entries: DataFrame, least: float, size: int) -> np.ndarray:
-    """The filter of all entries (hash, n), built in segments that tasks fill and shuffles merge."""
-    segments = -(-size // _SEGMENT)
-
-    def touched(batches):
-        for batch in batches:
-            hashes = batch.column("hash").to_numpy().view(np.uint64)
-            many = levels(batch.column("n").to_numpy().astype(float), least)
-            owner = np.repeat(hashes, many)
+    """The filter of all entries (hash, n): tasks fill segments, the driver merges them."""
+
+    def filled(held):
+        hashes = np.concatenate([h for h, _ in held])
+        order = np.argsort(hashes)
+        hashes, n = hashes[order], np.concatenate([n for _, n in held])[order]
+        segment = segment_of(hashes, size)
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(segment)) + 1, [len(hashes)]))
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            many = levels(n[low:high].astype(float), least)
+            owner = np.repeat(hashes[low:high], many)
             level = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + 1
-            at = np.unique(np.concatenate([probe_bits(owner, level, i, size) for i in range(PROBES)]))
-            cuts = np.flatnonzero(np.diff(at // _SEGMENT)) + 1
-            parts = [x for x in np.split(at, cuts) if len(x)]
+            flags = np.zeros(_SEGMENT, bool)
+            for probe in range(PROBES):
+                flags[places(owner, level, probe)] = True
+            at = np.flatnonzero(flags)
+            few = 2 * len(at) < _SEGMENT // 8
+            bits = at.astype("<u2").tobytes() if few else np.packbits(flags).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int(x[0] // _SEGMENT) for x in parts], pa.int32()),
-                    pa.array([(x % _SEGMENT).astype("<u2").tobytes() for x in parts], pa.binary()),
-                ],
-                ["segment", "places"],
+                [pa.array([int(segment[low])], pa.int32()), pa.array([few]), pa.array([bits], pa.binary())],
+                ["segment", "few", "bits"],
             )
 
-    def merged(table: pa.Table) -> pa.Table:
-        flags = np.zeros(_SEGMENT, bool)
-        for places in table["places"].to_pylist():
-            flags[np.frombuffer(places, "<u2")] = True
-        return pa.table(
-            {"segment": table["segment"].slice(0, 1).cast(pa.int32()), "bits": [np.packbits(flags).tobytes()]}
-        )
-
-    bits = np.zeros(segments * (_SEGMENT // 8), np.uint8)
-    parts = entries.mapInArrow(touched, "segment int, places binary").groupBy("segment")
-    for row in parts.applyInArrow(merged, "segment int, bits binary").toLocalIterator():
+    def touched(batches):
+        held, some = [], 0
+        for batch in batches:
+            held.append((batch.column("hash").to_numpy().view(np.uint64), batch.column("n").to_numpy()))
+            some += batch.num_rows
+            if some >= CHUNK:
+                yield from filled(held)
+                held, some = [], 0
+        if some:
+            yield from filled(held)
+
+    bits = np.zeros(size // 8, np.uint8)
+    # Written, as the driver reads one task's rows after the other.
+    for row in written(entries.select("hash", "n").mapInArrow(touched, "segment int, few boolean, bits binary"), "filter").toLocalIterator():
         low = row.segment * (_SEGMENT // 8)
-        bits[low : low + _SEGMENT // 8] = np.frombuffer(row.bits, np.uint8)
+        own = bits[low : low + _SEGMENT // 8]
+        if row.few:
+            flags = np.zeros(_SEGMENT, bool)
+            flags[np.frombuffer(row.bits, "<u2")] = True
+            own |= np.packbits(flags)
+        else:
+            own |= np.frombuffer(row.bits, np.uint8)
     return bits
 
 
+def least_of(octaves: dict[int, int]) -> tuple[int, int]:
+    """The least count in the filter and the number of entries, given the sequences by floor(2 * log2(count))."""
+    least, low = 1, 0
+    while True:
+        entries = sum(n * (1 + k - low) for k, n in octaves.items() if k >= low)
+        if entries <= ENTRIES:
+            return least, entries
+        least, low = 2 * least, low + 2
+
+
 def fit(corpus: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
-    """The model of all texts of the corpus, and the exact counts (hash, n) of all its words."""
+    """The model of all texts of the corpus, and exact counts (hash, n, pair): all words', and those of the pairs whose
+    count cannot be read from the filter."""
     texts = corpus.select(F.col(text).alias("text"))
     counts = written(_counted(texts, pairs=False), "words")
     total = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     n, types = total.tokens or 0, total.types
-    least, often = max(1, -(-n // KEPT)), max(1, -(-n // FREQUENT))
+    often = max(1, -(-n // FREQUENT))
     frequent = counts.where(F.col("n") >= often).toPandas()  # FREQUENT rows at most
     hashes = frequent["hash"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    rare = counts.where((F.col("n") < often) & (F.col("n") >= least))
-    pairs = _counted(texts, pairs=True).where(F.col("n") >= least)
-    kept = written(pairs.unionByName(rare), "kept")
-    level = 1 + F.floor(2 * F.log2(F.col("n") / F.lit(float(least))) + 1e-9)
-    entries = kept.agg(F.sum(level).alias("n")).first().n or 0
-    size = max(_SEGMENT, entries * BITS)
-    bits = _filter_bits(kept, least, size)
+    pairs = written(_counted(texts, pairs=True), "pairs")
+    stored = pairs.unionByName(counts.where(F.col("n") < often))
+    octave = F.floor(2 * F.log2("n") + 1e-9).alias("octave")
+    least, entries = least_of({r.octave: r.n for r in stored.groupBy(octave).agg(F.count(F.lit(1)).alias("n")).collect()})
+    size = max(1, -(-entries * BITS // _SEGMENT)) * _SEGMENT
+    bits = _filter_bits(stored.where(F.col("n") >= least), least, size)
     model = Model(n, types, least, size, bits, hashes[order], frequent["n"].to_numpy().astype(np.int64)[order])
-    return model, counts
+    exact = counts.withColumn("pair", F.lit(False))
+    if least > 1:
+        above = int(count_of(np.array([2]), least)[0])
+        exact = exact.unionByName(pairs.where(F.col("n") < above).withColumn("pair", F.lit(True)))
+    return model, exact
 
 
-PARTIAL = "n_tokens long, n_known long, base_score double, score double, rare array<struct<hash:long,n:int>>"
+#: Open are the tokens whose probability lacks a count: those at hand, and the hashes to look the others up by. For a
+#: count at hand the hash is the pair's, as a frequent word would be a hot key.
+OPEN = "pair:long,before:long,token:long,together:double,history:double,low:double,n:int"
+PARTIAL = (
+    "n_tokens long, n_known long, base_score double, score double, rare array<struct<hash:long,n:int>>, "
+    f"open array<struct<{OPEN}>>"
+)
 
 
 def _partial(part: pa.RecordBatch, text: str, model: Model) -> list[pa.Array]:
@@ -195,21 +259,47 @@ def _partial(part: pa.RecordBatch, text: str, model: Model) -> list[pa.Array]:
     owner = np.repeat(np.arange(texts), np.diff(first))
     # Distinct tokens are looked up once a slice.
     unique, at = np.unique(token, return_inverse=True)
-    low, high, exact = model.word_counts(unique)
+    low, high, exact, left = model.word_counts(unique)
     unit = np.log10((low + 1) / (model.tokens + model.types + 1))
     known = exact[at]
     base = np.bincount(owner, weights=np.where(known, unit[at], 0.0), minlength=texts)
     n_known = np.bincount(owner, weights=known & (low[at] > 0), minlength=texts).astype(np.int64)
     pairs, pair_at = np.unique(pair_hashes(before, token), return_inverse=True)
-    together = count_of(model.level(pairs), model.least)[pair_at]
+    level = model.level(pairs)
+    together = count_of(level, model.least)[pair_at]
+    pair_left = model.is_open(level)[pair_at]
     # The begin stands before as many tokens as there are texts, which is how often the end was seen.
     end_at = np.searchsorted(unique, END)
     previous = np.concatenate(([0], at[:-1]))[: len(at)]
     previous[first[:-1]] = end_at
     history = high[previous]
-    together = np.minimum(together, history)
-    p = (together + model.prior * 10.0 ** unit[at]) / (history + model.prior)
-    score = np.bincount(owner, weights=np.log10(p), minlength=texts)
+    p = (np.minimum(together, history) + model.prior * 10.0 ** unit[at]) / (history + model.prior)
+    is_open = pair_left | left[previous] | left[at]
+    score = np.bincount(owner, weights=np.where(is_open, 0.0, np.log10(p)), minlength=texts)
+    # Open tokens, once per text and pair.
+    opened = np.flatnonzero(is_open)
+    if len(opened):
+        _, once, times = np.unique(
+            np.stack((owner[opened], pair_at[opened])), axis=1, return_index=True, return_counts=True
+        )
+        opened = opened[once]
+    else:
+        times = opened
+    key = pairs[pair_at[opened]]
+    before_left, token_left = left[previous[opened]], left[at[opened]]
+    open_bounds = np.searchsorted(owner[opened], np.arange(texts + 1)).astype(np.int32)
+    open_structs = pa.StructArray.from_arrays(
+        [
+            pa.array(key.view(np.int64)),
+            pa.array(np.where(before_left, unique[previous[opened]], key).view(np.int64)),
+            pa.array(np.where(token_left, unique[at[opened]], key).view(np.int64)),
+            pa.array(together[opened], mask=pair_left[opened]),
+            pa.array(history[opened], mask=before_left),
+            pa.array(low[at[opened]], mask=token_left),
+            pa.array(times.astype(np.int32)),
+        ],
+        [field.split(":")[0] for field in OPEN.split(",")],
+    )
     # Occurrences of words whose exact count is not at hand, once per text and word.
     rare = np.flatnonzero(~known)
     if len(rare):
@@ -226,9 +316,29 @@ def _partial(part: pa.RecordBatch, text: str, model: Model) -> list[pa.Array]:
         pa.array(base),
         pa.array(score),
         pa.ListArray.from_arrays(pa.array(bounds), structs),
+        pa.ListArray.from_arrays(pa.array(open_bounds), open_structs),
     ]
 
 
+def _open_scores(partial: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """Rows (__row, __open): the part of the score that open tokens have, with exact counts for what they lack."""
+    above = int(count_of(np.array([2]), model.least)[0])
+    words = counts.where(~F.col("pair") & (F.col("n") < above))
+    tokens = partial.select("__row", F.explode("open").alias("open")).select("__row", "open.*")
+    for key, value, known in (
+        ("pair", "together", counts.where("pair")),
+        ("before", "history", words),
+        ("token", "low", words),
+    ):
+        found = known.select(F.col("hash").alias(key), F.col("n").alias("__n"))
+        value_known = F.coalesce(value, F.col("__n").cast("double"), F.lit(0.0))
+        tokens = tokens.join(found, key, "left").withColumn(value, value_known).drop("__n", key)
+    unit = (F.col("low") + 1) / F.lit(float(model.tokens + model.types + 1))
+    together = F.least("together", "history")
+    p = (together + F.lit(model.prior) * unit) / (F.col("history") + F.lit(model.prior))
+    return tokens.groupBy("__row").agg(F.sum(F.col("n") * F.log10(p)).alias("__open"))
+
+
 def with_scores(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text", carry: list[str] = ()) -> DataFrame:
     """The carried columns with n_tokens, n_known, train_tokens, base_score and score."""
     known = docs.sparkSession.sparkContext.broadcast(model)
@@ -254,19 +364,23 @@ def with_scores(docs: DataFrame, model: Model, counts: DataFrame, text: str = "t
     count = F.coalesce("n", F.lit(0))
     unit = F.log10((count + 1) / F.lit(float(model.tokens + model.types + 1)))
     sums = (
-        rare.join(counts, "hash", "left")
+        rare.join(counts.where(~F.col("pair")), "hash", "left")
         .groupBy("__row")
         .agg(
             F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("__known"),
             F.sum(F.col("times") * unit).alias("__base"),
         )
     )
+    score = F.col("score")
+    if model.least > 1:
+        sums = sums.join(_open_scores(partial, model, counts), "__row", "full")
+        score = score + F.coalesce("__open", F.lit(0.0))
     return partial.join(sums, "__row", "left").select(
         *carry,
         "n_tokens",
         (F.col("n_known") + F.coalesce("__known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("__base", F.lit(0.0))).alias("base_score"),
-        "score",
+        score.alias("score"),
     )
 
