@@ -49,3 +49,11 @@ def test_empty_pages_and_pages_without_an_article():
     page = "<body><div>own</div><div class=x>same</div></body>"
     assert html_extract.main_text(page) == "own\nsame"
     assert html_extract.main_text(page, frozenset({">body>div.x"})) == "own"
+
+
+def test_names_inside_attribute_values_are_no_attributes():
+    page = (
+        '<article style="overflow:hidden" data-id="search"><p>a <a href=/b title="Hidden gems of Rome">b</a></p>'
+        "<p data-hidden=1 data-class='ad' title='id=ad'>c</p><p class=x hidden>d</p><p title='\"' class = 'ad'>e</p></article>"
+    )
+    assert html_extract.main_text(page) == "a b\nc"

@@ -70,7 +70,8 @@ CHROME_WORDS = frozenset(
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)", re.S
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: One attribute with its value, so that nothing inside a value is taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACE = re.compile(r"[\s​]+")
 
 
@@ -81,7 +82,7 @@ def _named(attributes: str) -> tuple[str, bool]:
         value, name = value.strip("\"'").lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             chrome = True
-        elif name != "aria-hidden":
+        elif name in ("class", "id", "role"):
             parts = re.split(r"[^a-z0-9]+", value)
             chrome = chrome or any(x in CHROME_WORDS for x in parts)
             if name == "class" and not first:
