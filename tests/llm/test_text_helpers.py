@@ -57,3 +57,26 @@ def test_names_inside_attribute_values_are_no_attributes():
         "<p data-hidden=1 data-class='ad' title='id=ad'>c</p><p class=x hidden>d</p><p title='\"' class = 'ad'>e</p></article>"
     )
     assert html_extract.main_text(page) == "a b\nc"
+
+
+def test_names_inside_an_article_need_the_tree():
+    page = (
+        '<body><div class="with-sidebar header"><article class="post has-comments search"><h2 id="search">a</h2>'
+        '<section id="discussion"><p>b</p></section><div class="related"><p>c</p></div><div class="read-form">d</div>'
+        '<div class="x ad">e</div></article></div><div class="menu">m</div></body>'
+    )
+    assert html_extract.main_text(page) == "a\nb\nc\nd"
+    low = ">body>div.with-sidebar>article.post>div.related"
+    assert html_extract.main_text(page, frozenset({low})) == "a\nb\nd"
+    # Without a name, the tree takes nothing from an article.
+    assert html_extract.main_text(page, frozenset({">body>div.with-sidebar>article.post>section"})) == "a\nb\nc\nd"
+
+
+def test_articles_below_names():
+    other = "<div class=related><article>r</article></div>"
+    assert html_extract.main_text(f"<main><p>a</main>{other}") == "a"
+    assert html_extract.main_text(other) == "r"
+    comment = "<div class=comments><article>c</article></div>"
+    assert html_extract.main_text(f"<div>a</div>{comment}") == "a"
+    assert html_extract.main_text(comment) == "c"
+    assert html_extract.main_text("<div>a</div><div class='x menu'>m</div><div class=menu-card>b</div>") == "a\nb"

@@ -7,9 +7,12 @@ number) for presentation, and one minus the entropy of its contents for content;
 its children with the factor ``GAMMA``. A branch with an importance below ``LEAST`` on a host with at least ``PAGES`` pages is
 the site's, not the page's, and goes.
 
-Entropy alone cannot tell an advert that differs on every page from an article, so what a branch is called decides
-first: elements that by name hold menus, headers, footers, sidebars, notices, adverts, forms or comments go, and where a
-page has an article (or a main element), that is its text and no importance is asked for. The tree decides the rest.
+Entropy alone cannot tell an advert that differs on every page from an article, so outside articles what a branch is
+called decides first: elements that by element, class or role hold menus, headers, footers, sidebars, notices, adverts,
+forms or comments go, and the tree decides the rest. Where a page has an article (or a main element), that is its text.
+Inside it only adverts go by class alone; other names count where the tree calls the branch unimportant as well. Names
+never count on an article, and above it only where the page has another article, or text and the article is a comment.
+Names are whole classes or roles; an id is an anchor and names nothing.
 
 Counting is a shuffle of (host, node, feature) with counts; a page gets its host's unimportant nodes by a join that
 broadcasts those of hosts with very many pages, so no host needs a task of its own.
@@ -58,14 +61,16 @@ CLOSES = {
     "option": {"option"},
 }
 CONTAINERS = frozenset("table ul ol dl div section article main body html".split())
-#: Words in a class, id or role that name what is not the article.
-CHROME_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner banners nav "
+#: Classes and roles that name adverts, comments, and whatever else is not the article.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored sponsors".split())
+REPLIES = frozenset("comment comments commentlist reply replies respond discussion disqus".split())
+CHROME_WORDS = ADVERTS | REPLIES | frozenset(
+    "promo promotion banner banners nav "
     "navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer foot bottombar sidebar sidebars "
     "aside rail widget widgets related recommended notice notices cookie cookies consent gdpr alert popup modal overlay "
-    "newsletter subscribe subscription signup login search share sharing social toolbar pagination pager comment comments "
-    "commentlist reply replies respond discussion disqus form contentinfo complementary skip".split()
-)
+    "newsletter subscribe subscription signup login search share sharing social toolbar pagination pager form "
+    "contentinfo complementary skip".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)", re.S
@@ -75,28 +80,32 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?
 _SPACE = re.compile(r"[\s​]+")
 
 
-def _named(attributes: str) -> tuple[str, bool]:
-    """The first class, and whether the attributes name what is not the article."""
-    first, chrome = "", False
+def _named(attributes: str) -> tuple[str, bool, frozenset[str]]:
+    """The first class, whether the element is hidden, and its classes and roles that name what is not the article."""
+    first, hidden, names = "", False, set()
     for name, value in _ATTRIBUTE.findall(attributes):
         value, name = value.strip("\"'").lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            chrome = True
-        elif name in ("class", "id", "role"):
-            parts = re.split(r"[^a-z0-9]+", value)
-            chrome = chrome or any(x in CHROME_WORDS for x in parts)
+            hidden = True
+        elif name in ("class", "role"):
+            names.update(value.split())
             if name == "class" and not first:
                 first = value.split()[0] if value.split() else ""
-    return first, chrome
+    return first, hidden, CHROME_WORDS & names
 
 
 class Node:
-    """An open or closed element: its tag, its node in the style tree, and flags handed down."""
+    """An open or closed element: its tag, its node in the style tree, and flags handed down.
+
+    ``outer`` is 1 below a name outside articles and 2 below one of comments; ``doubts`` are the paths of named elements
+    inside the article.
+    """
 
-    __slots__ = ("tag", "path", "chrome", "inside", "children")
+    __slots__ = ("tag", "path", "chrome", "inside", "outer", "doubts", "children")
 
-    def __init__(self, tag: str, path: str, chrome: bool, inside: bool):
+    def __init__(self, tag: str, path: str, chrome: bool, inside: bool, outer: int = 0, doubts: tuple[str, ...] = ()):
         self.tag, self.path, self.chrome, self.inside = tag, path, chrome, inside
+        self.outer, self.doubts = outer, doubts
         self.children: list[str] = []
 
 
@@ -146,14 +155,25 @@ def parsed(page: str) -> tuple[list[tuple[Node, tuple[str, ...], str]], list[Nod
             if tag in VOID:
                 continue
             above = stack[-1]
-            name, chrome = _named(attributes) if attributes.strip() else ("", False)
-            chrome = chrome and tag not in ("html", "body", "main")
+            name, hidden, names = _named(attributes) if attributes.strip() else ("", False, frozenset())
+            chrome = hidden and tag not in ("html", "body", "main")
+            path = f"{above.path}>{tag}" + (f".{name}" if name else "")
+            outer, doubts = above.outer, above.doubts
+            if names and tag not in ("html", "body", "main", "article"):
+                if not above.inside:
+                    outer = max(outer, 2 if names & REPLIES else 1)
+                elif names & ADVERTS:
+                    chrome = True
+                else:
+                    doubts += (path,)
             page_header = tag == "header" and not above.inside
             node = Node(
                 tag,
-                f"{above.path}>{tag}" + (f".{name}" if name else ""),
+                path,
                 above.chrome or chrome or tag in CHROME or tag in SILENT or page_header,
                 above.inside or tag in ("article", "main"),
+                outer,
+                doubts,
             )
             above.children.append(tag if not name else f"{tag}.{name}")
             nodes.append(node)
@@ -178,9 +198,12 @@ def main_text(page: str | None, unimportant: frozenset[str] = frozenset()) -> st
     """The article's blocks, joined by line ends; ``unimportant`` has the paths of the host's own branches."""
     blocks, _ = parsed(page or "")
     blocks = [(node, above, text) for node, above, text in blocks if not node.chrome]
-    if any(node.inside for node, _, _ in blocks):
-        return "\n".join(text for node, _, text in blocks if node.inside)
-    return "\n".join(text for _, above, text in blocks if not any(path in unimportant for path in above))
+    articles = [(node, text) for node, _, text in blocks if node.inside and unimportant.isdisjoint(node.doubts)]
+    for outer in (0, 1):
+        if any(node.outer <= outer for node, _ in articles):
+            return "\n".join(text for node, text in articles if node.outer <= outer)
+    rest = [text for node, above, text in blocks if not node.inside and not node.outer and unimportant.isdisjoint(above)]
+    return "\n".join(rest or [text for _, text in articles])
 
 
 def _features(page: str | None) -> set[tuple[str, str, str]]:
