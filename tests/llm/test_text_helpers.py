@@ -80,3 +80,10 @@ def test_articles_below_names():
     assert html_extract.main_text(f"<div>a</div>{comment}") == "a"
     assert html_extract.main_text(comment) == "c"
     assert html_extract.main_text("<div>a</div><div class='x menu'>m</div><div class=menu-card>b</div>") == "a\nb"
+
+
+def test_conversations_without_turn_numbers(spark):
+    said = [(1, None, "user", "q"), (2, None, None, None), (3, 0, "user", "a"), (3, None, "assistant", "b")]
+    records = chat.records_of_rows(spark.createDataFrame(said, "conv_id long, turn int, role string, text string"))
+    found = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.canonical_turns(records).collect()}
+    assert found == {1: [("user", "q")], 2: [(None, "")], 3: [("user", "a"), ("assistant", "b")]}

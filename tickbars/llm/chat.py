@@ -64,6 +64,8 @@ MAPPINGS = (
         each="turns",
         order="turn",
     ),
+    # Where all numbers are null, JSON has none.
+    Mapping("numbered turns", frozenset({"turns[].text"}), (Turn("text", role_path="role"),), each="turns", order="turn"),
     Mapping("messages", frozenset({"messages[].content"}), (Turn("content", role_path="role"),), each="messages"),
     Mapping(
         "conversations", frozenset({"conversations[].value"}), (Turn("value", role_path="from"),), each="conversations"
