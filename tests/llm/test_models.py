@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import HARD, LOWER, WORD, rows
 
@@ -42,6 +43,16 @@ def test_toxicity_on_remarks_not_learned_from(spark, toxic_model):
     assert kept.count() == sum(r.score < toxicity.THRESHOLD for r in scored)
 
 
+def test_the_lexicon_knows_rare_words_of_all_labelled_rows(spark, monkeypatch):
+    # One toxic remark in a hundred has the word; the trees' sample is a tenth of the rows.
+    remark = [(i, text + (" weaselface" if i % 200 == 1 else ""), label) for i, text, label in remarks(4000, 3)]
+    monkeypatch.setattr(toxicity, "MOST_LABELLED", 400)
+    model = toxicity.fit(spark.createDataFrame(remark, "id long, text string, toxic int").repartition(3))
+    with_word, without = (toxicity.features(pa.array([text]), model.lexicon)[0] for text in ("the weaselface", "the river"))
+    strongest = toxicity.FEATURES.index("strongest")
+    assert with_word[strongest] > 0 == without[strongest]
+
+
 def test_toxicity_on_hard_rows(hard, empty, toxic_model):
     scored = toxicity.with_scores(hard, toxic_model, name="score").collect()
     assert len(scored) == len(HARD) and all(0 <= r.score <= 1 for r in scored)
