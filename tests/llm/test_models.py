@@ -194,3 +194,10 @@ def test_no_language_learned(hard, empty):
     model = language_id.fit(empty.selectExpr("doc_id id", "text", "lang"))
     found = language_id.with_language(hard, model).collect()
     assert {(r.lang_pred, r.lang_score) for r in found} == {("und", 0.0)}
+
+
+def test_more_languages_than_can_be_learned_are_an_error(spark, monkeypatch):
+    labelled = spark.createDataFrame([(1, "ka", "aa"), (2, "ce", "bb"), (3, "zu", "cc")], "id long, text string, lang string")
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        language_id.fit(labelled)

@@ -7,7 +7,8 @@ fitted on at most ``SAMPLE`` of them (a documented parameter, spread over the la
 follow-the-regularised-leader and elastic-net penalties, which leave most weights zero. A temperature fitted on sampled
 documents that the weights never saw turns the outputs into calibrated probabilities.
 
-The weights (BUCKETS times languages, at most ``MOST_LANGUAGES``) are what is broadcast: a bound that no data moves.
+The weights (BUCKETS times languages, at most ``MOST_LANGUAGES``) are what is broadcast: a bound that no data moves. More
+labelled languages are an error.
 
 Null texts and texts without a letter are ``und`` with score 0. Without any labelled document every text is ``und``.
 """
@@ -171,7 +172,9 @@ def fit(labelled: DataFrame) -> Model:
     """Learn from a frame (id, text, lang); rows without a text or a language teach nothing."""
     labelled = labelled.where("lang is not null and text is not null")
     seen = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    languages = sorted(r.lang for r in seen.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+    languages = sorted(r.lang for r in seen.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect())
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labelled languages")
     if not languages:
         return Model([], np.zeros((0, BUCKETS)), np.zeros(0))
     frequency, total = document_frequencies(labelled)
