@@ -1,4 +1,4 @@
-"""Run a registered query and its SQL on the same tables and describe the first difference."""
+"""Helpers of the tests: plans, rows, and the first difference between a registered query and its SQL."""
 
 from __future__ import annotations
 
@@ -19,6 +19,15 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def plan(df) -> str:
+    """The physical plan as text."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df) -> list[tuple]:
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
 def _key(row):
     return tuple((value is None, str(type(value)), "" if value is None else value) for value in row)
 

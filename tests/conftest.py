@@ -33,12 +33,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def plan(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df) -> list[tuple]:
-    return sorted((tuple(row) for row in df.collect()), key=repr)

@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan, rows
+from compare import plan, rows
 from pyspark.sql import functions as F
 
 from tickbars.operators import quality, rollups

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import plan
+from compare import plan
 
 from tickbars.operators import boards
 

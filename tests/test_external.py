@@ -9,7 +9,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceWriter,

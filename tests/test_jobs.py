@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from compare import rows
 
 from tickbars import schemas
 from tickbars.plans import jobs

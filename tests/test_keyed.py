@@ -2,7 +2,7 @@ import os
 from random import Random
 
 import pytest
-from conftest import plan, rows
+from compare import plan, rows
 from pyspark.sql import functions as F
 
 from tickbars.schemas import ResultTable

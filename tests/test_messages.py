@@ -2,7 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from tickbars.functions.messages import parse_ticks, reject_reason, to_messages

@@ -71,7 +71,7 @@ def test_live_price_columns(spark):
 
 
 def test_daily_totals_stay_on_the_ticks_partitions(spark, sf_dir):
-    from conftest import plan
+    from compare import plan
 
     from tickbars.plans import tables
 

@@ -4,7 +4,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from compare import plan, rows
 
 from tickbars.schemas import TICK
 from tickbars.sources.payloads import payload_rejects, payload_ticks, read_payloads

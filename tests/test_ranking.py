@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan
+from compare import plan
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window

@@ -85,7 +85,7 @@ def test_pane_deviation_keeps_its_digits(spark):
 
 
 def test_burst_is_combined_before_the_shuffle(spark):
-    from conftest import plan
+    from compare import plan
 
     text = plan(rolling_stats(ticks(spark, [("A", 0, 1)])))
     assert text.count("Exchange hashpartitioning") == 1

@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 from random import Random
 
 import pytest
-from conftest import rows
+from compare import rows
 
 from tickbars.functions.messages import parse_ticks
 from tickbars.operators import boards, live, lookups
