@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
-from tickbars.llm import chat, decontaminate, exact_dedup, html_extract, language_id, lm_scoring, mixing, near_dedup, substring_dedup, toxicity
+from tickbars.llm import chat, decontaminate, exact_dedup, html_extract, language_id, lm_scoring, mixing, near_dedup, substring_dedup, token_counts, toxicity
 from tickbars.llm.shared import crc_fold, documents, table
 
 
@@ -75,6 +77,13 @@ def op10_html_extract(spark, sf_dir):
     )
 
 
+def op13_token_counts(spark, sf_dir):
+    import public_tokenizers  # where the vocabulary file lies; only this query needs it
+
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return token_counts.count_tokens(documents(spark, sf_dir), model, ["doc_id"])
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -88,5 +97,6 @@ QUERIES = {
         op8_near_dedup,
         op9_exact_dedup,
         op10_html_extract,
+        op13_token_counts,
     )
 }
