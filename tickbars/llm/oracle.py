@@ -100,4 +100,67 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE = {"op1_substring_dedup": OP1, "op3_mixing": OP3, "op5_decontamination": OP5, "op9_exact_dedup": OP9}
+OP11 = r"""
+WITH vectors AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.id AS anchor_id, a.label AS own, b.id, b.label, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vectors AS a JOIN vectors AS b ON a.id % 100 = 0 AND b.id <> a.id
+), positives AS (
+    SELECT * FROM scores WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER best)::INTEGER AS rank, n.id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM positives AS p JOIN scores AS n
+     ON n.anchor_id = p.anchor_id AND n.label <> n.own AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+WINDOW best AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)
+QUALIFY row_number() OVER best <= 10
+"""
+
+OP12 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS sizes(k))
+), counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+many AS (SELECT * FROM counts WHERE a >= 100),
+candidates AS (
+    SELECT * FROM many AS c
+    WHERE k > 1 AND NOT EXISTS (
+        SELECT 1 FROM many AS longer
+        WHERE longer.lang = c.lang AND longer.k > c.k AND 100 * longer.a >= 100 * c.a
+              AND contains(' ' || longer.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+    SELECT lang, k, phrase, a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS first,
+           array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS rest
+    FROM candidates, range(1, 5) AS cut(j) WHERE j < k
+), scored AS (
+    SELECT cuts.lang, cuts.phrase, cuts.a, f.a AS l, r.a AS r, n, j,
+           (1000::HUGEINT * cuts.a * n) // (f.a::HUGEINT * r.a) AS score
+    FROM cuts JOIN totals USING (lang)
+    JOIN many AS f ON f.lang = cuts.lang AND f.phrase = first JOIN many AS r ON r.lang = cuts.lang AND r.phrase = rest
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM lowest
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000
+"""
+
+ORACLE = {
+    "op1_substring_dedup": OP1,
+    "op3_mixing": OP3,
+    "op5_decontamination": OP5,
+    "op9_exact_dedup": OP9,
+    "op11_hard_negatives": OP11,
+    "op12_collocations": OP12,
+}

@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from tickbars.llm import chat, decontaminate, exact_dedup, html_extract, language_id, lm_scoring, mixing, near_dedup, substring_dedup, token_counts, toxicity
+from tickbars.llm import chat, collocations, decontaminate, exact_dedup, hard_negatives, html_extract, language_id, lm_scoring, mixing, near_dedup, substring_dedup, token_counts, toxicity
 from tickbars.llm.shared import crc_fold, documents, table
 
 
@@ -77,6 +77,16 @@ def op10_html_extract(spark, sf_dir):
     )
 
 
+def op11_hard_negatives(spark, sf_dir):
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op13_token_counts(spark, sf_dir):
     import public_tokenizers  # where the vocabulary file lies; only this query needs it
 
@@ -97,6 +107,8 @@ QUERIES = {
         op8_near_dedup,
         op9_exact_dedup,
         op10_html_extract,
+        op11_hard_negatives,
+        op12_collocations,
         op13_token_counts,
     )
 }
