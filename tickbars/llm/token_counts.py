@@ -6,9 +6,9 @@ are cut there, into pre-tokens: a run of spaces or of such barrier characters wi
 then exactly those of its pre-tokens. ``Vocabulary`` derives the cuts from the model and refuses one that gives none.
 
 1. Tasks combine their pre-tokens; a shuffle gives every distinct one its frequency, and the library its tokens, once.
-2. Pre-tokens met at least ``least`` times are broadcast, as hashes and counts: ``least`` is the smallest power of two
-   that at most ``MOST_BROADCAST`` of them reach, whatever the corpus. A hash that two distinct pre-tokens of the corpus
-   share is left out, so a lookup by hash is exact.
+2. Pre-tokens met at least ``least`` times are broadcast, as hashes and counts: ``least`` is the smallest power of two,
+   from 2 on, that at most ``MOST_BROADCAST`` of them reach, whatever the corpus. A hash that two distinct pre-tokens of
+   the corpus share is left out, so a lookup by hash is exact.
 3. A task multiplies a document's frequencies of these with their counts. Other pre-tokens, each met fewer than ``least``
    times, travel as rows (row, pre-token, frequency) to a join with the counts. No ids are made anywhere.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.llm.shared import on_own_columns, written
-from tickbars.llm.words import Words, ranges, slices
+from tickbars.llm.words import Words, contains, ranges, slices
 
 #: At most so many pre-tokens are broadcast, with 12 bytes each.
 MOST_BROADCAST = 1 << 21
@@ -173,21 +173,30 @@ class Frequent:
 
 
 def frequent(counts: DataFrame, most: int = MOST_BROADCAST) -> Frequent:
-    """Those met ``least`` times or more, without hashes that two pre-tokens share."""
-    sizes = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).count().collect()
-    left, least = sum(row["count"] for row in sizes), 1
+    """Those met ``least`` times or more, without hashes that two pre-tokens share. Those met once are never among them,
+    whatever the size of the corpus."""
+    sizes = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).count().where("level > 0").collect()
+    left, least = sum(row["count"] for row in sizes), 2
     for row in sorted(sizes):
         if left <= most:
             break
         left, least = left - row["count"], 2 << row["level"]
-    many = counts.where(F.col("n") >= least).select("hash", "n", "pieces")
-    table = many.select("hash", "pieces").toArrow()
-    hashes = table.column("hash").to_numpy()
-    same = counts.join(F.broadcast(many.select("hash")), "hash", "left_semi").groupBy("hash").count().where("count > 1")
-    shared = [row["hash"] for row in same.select("hash").collect()]
-    order = np.argsort(hashes.view(np.uint64))
-    order = order[~np.isin(hashes[order], shared)]
-    return Frequent(least, hashes.view(np.uint64)[order], table.column("pieces").to_numpy()[order].astype(np.int32), shared)
+    table = counts.where(F.col("n") >= least).select("hash", "pieces").toArrow()
+    hashes = table.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, pieces = hashes[order], table.column("pieces").to_numpy()[order].astype(np.int32)
+    known = counts.sparkSession.sparkContext.broadcast(hashes)
+
+    def also_there(batches):
+        for batch in batches:
+            rare = batch.column("hash").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(rare[contains(known.value, rare.view(np.uint64))])], ["hash"])
+
+    rare = counts.where(F.col("n") < least).select("hash").mapInArrow(also_there, "hash long").distinct().toArrow()
+    known.unpersist()
+    shared = np.union1d(rare.column("hash").to_numpy().view(np.uint64), hashes[1:][hashes[1:] == hashes[:-1]])
+    single = ~contains(shared, hashes)
+    return Frequent(least, hashes[single], pieces[single], shared.view(np.int64).tolist())
 
 
 def count_tokens(docs: DataFrame, model: bytes, carry: list[str], text: str = "text", limit: int = LIMIT, most: int = MOST_BROADCAST) -> DataFrame:
