@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickbars.schemas import BOARD_SIZE
 
 
-def _per_coin(metrics: DataFrame, columns: list[str], pick: str) -> DataFrame:
+def per_coin(metrics: DataFrame, columns: list[str], pick: str) -> DataFrame:
     """One row per coin over everything seen.
 
     ``pick="max"`` takes each column's own maximum, which need not come from one tick; ``"latest"`` takes the newest
@@ -29,29 +29,29 @@ def _per_coin(metrics: DataFrame, columns: list[str], pick: str) -> DataFrame:
     raise ValueError(f"pick must be 'max' or 'latest', not {pick!r}")
 
 
-def _board(rows: DataFrame, order: Column, n: int) -> DataFrame:
+def board(rows: DataFrame, order: Column, n: int) -> DataFrame:
     return rows.orderBy(order, F.col("name_coin").asc()).limit(n)
 
 
 def leaders(metrics: DataFrame, pick: str = "max") -> DataFrame:
-    return _per_coin(metrics, ["price", "percent_change"], pick)
+    return per_coin(metrics, ["price", "percent_change"], pick)
 
 
 def shares(metrics: DataFrame, pick: str = "max") -> DataFrame:
-    return _per_coin(metrics, ["percent_volume", "percent_market_cap"], pick)
+    return per_coin(metrics, ["percent_volume", "percent_market_cap"], pick)
 
 
 def top_winners(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:
-    return _board(leaders(metrics, pick), F.col("percent_change").desc_nulls_last(), n)
+    return board(leaders(metrics, pick), F.col("percent_change").desc_nulls_last(), n)
 
 
 def top_losers(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:
     """Smallest change first; a coin without a known change is not a loser."""
-    return _board(leaders(metrics, pick), F.col("percent_change").asc_nulls_last(), n)
+    return board(leaders(metrics, pick), F.col("percent_change").asc_nulls_last(), n)
 
 
 def market_share(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:
-    return _board(shares(metrics, pick), F.col("percent_market_cap").desc_nulls_last(), n)
+    return board(shares(metrics, pick), F.col("percent_market_cap").desc_nulls_last(), n)
 
 
 def ranked_winners(metrics: DataFrame, n: int = BOARD_SIZE, pick: str = "max") -> DataFrame:

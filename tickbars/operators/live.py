@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars.functions import metrics
+from tickbars.session import work_dir
 
 
 def with_metrics(ticks: DataFrame, as_type: str = "double") -> DataFrame:
@@ -40,6 +41,23 @@ def with_daily_totals(ticks: DataFrame, time: str = "time_stamp") -> DataFrame:
     return ticks.withColumn("day", day).join(F.broadcast(totals), "day", "left").drop("day")
 
 
+def with_window_totals(ticks: DataFrame, duration: str) -> DataFrame:
+    """Ticks with the totals of the window they are in, for a stream without totals (and for a table just as well).
+
+    On a stream the totals are a windowed aggregation, which gives a window's totals when the watermark has passed its
+    end, and the ticks wait for them in a stream-stream join on the window. The window bounds the time on both sides, so
+    ticks are let go when their window is over. Needs a watermark on ``time_stamp`` and append mode.
+    """
+    totals = ticks.groupBy(F.window("time_stamp", duration)).agg(
+        F.try_sum("volume").alias("total_24_volume"), F.try_sum("market_cap").alias("total_market_cap")
+    )
+    # A stream may have one event time a side, which here is the window: the tick's own time goes on as a plain value.
+    others = [F.col(name) for name in ticks.columns if name not in ("total_24_volume", "total_market_cap", "time_stamp")]
+    time = F.col("time_stamp") + F.make_dt_interval()
+    placed = ticks.select(*others, time.alias("time_stamp"), F.window("time_stamp", duration).alias("window"))
+    return placed.join(totals, "window").drop("window")
+
+
 def with_snapshot_totals(ticks: DataFrame, snapshot: str) -> DataFrame:
     """The same for an arbitrary snapshot column; the join strategy is left to Spark, as nothing bounds its values."""
     totals = ticks.groupBy(snapshot).agg(
@@ -59,3 +77,26 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
     row = F.struct(*[p.alias(f"order_{i}") for i, p in enumerate(position)], *others)
     newest = df.groupBy(*keys).agg(F.max(row).alias("newest"))
     return newest.select(*[F.col(name) if name in keys else F.col(f"newest.{name}") for name in df.columns])
+
+
+#: The newest times of so many keys are sent to every task; their rows are then found without a shuffle.
+MOST_KEYS = 1 << 20
+
+
+def newest_per_key(df: DataFrame, keys: list[str], order: str, most_keys: int = MOST_KEYS) -> DataFrame:
+    """What ``latest_per_key`` gives for one ``order`` column of a fixed width, without sorting the rows; batch only.
+
+    First the newest value per key, which fits a hash aggregation, then the rows that have it, by a semi-join, and last
+    the ties among these few. The newest values are stored and counted: up to ``most_keys`` of them are broadcast and the
+    rows stay where they are read. Beyond, both sides are dealt by key and value, so a key with a third of all rows is
+    spread by its values. NULL is a key like any other, and older than any value.
+    """
+    newest = df.groupBy(*keys).agg(F.max(order).alias(order))
+    path = f"{work_dir(df.sparkSession, 'newest')}/rows"
+    newest.write.parquet(path)
+    newest = df.sparkSession.read.schema(newest.schema).parquet(path)
+    few = newest.count() <= most_keys
+    there = newest.select(*[F.col(name).alias(f"newest_{i}") for i, name in enumerate([*keys, order])])
+    same = [df[name].eqNullSafe(there[f"newest_{i}"]) for i, name in enumerate([*keys, order])]
+    tied = df.join(F.broadcast(there) if few else there, same, "left_semi")
+    return latest_per_key(tied, keys, [order])

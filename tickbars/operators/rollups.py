@@ -26,6 +26,15 @@ def _sequence_key(bars: DataFrame) -> Column:
     return F.date_diff(F.col("Date"), F.col("period")).cast("long") * F.lit(SEQUENCE_SPAN) + sequence
 
 
+def _placed(bars: DataFrame, grain: str, unique_sequence: bool) -> DataFrame:
+    """Complete bars with their ``period`` and the ``position`` that orders first and last within it."""
+    bars = drop_incomplete(bars.withColumn("Date", as_date(F.col("Date"))), BAR_INPUT)
+    bars = bars.withColumn("period", period_start(F.col("Date"), grain))
+    if unique_sequence:
+        return bars.withColumn("position", _sequence_key(bars))
+    return bars.withColumn("position", F.struct("Date", "SNo", "Open", "Close"))
+
+
 def period_base(bars: DataFrame, grain: str, *, unique_sequence: bool = False) -> DataFrame:
     """One row per asset and period, keyed by ``name`` and the period's first day.
 
@@ -34,12 +43,7 @@ def period_base(bars: DataFrame, grain: str, *, unique_sequence: bool = False) -
     ties, which needs a wider order and hence a sort before each side of the aggregation. Either way rows are combined
     before the shuffle, so an asset holding much of the data sends one row per period and task.
     """
-    bars = drop_incomplete(bars.withColumn("Date", as_date(F.col("Date"))), BAR_INPUT)
-    bars = bars.withColumn("period", period_start(F.col("Date"), grain))
-    if unique_sequence:
-        bars = bars.withColumn("position", _sequence_key(bars))
-    else:
-        bars = bars.withColumn("position", F.struct("Date", "SNo", "Open", "Close"))
+    bars = _placed(bars, grain, unique_sequence)
     return bars.groupBy(F.col("Name").alias("name"), "period").agg(
         F.max("High").alias("highest_high"),
         F.min("Low").alias("lowest_low"),
@@ -50,6 +54,33 @@ def period_base(bars: DataFrame, grain: str, *, unique_sequence: bool = False) -
     )
 
 
+def period_partials(bars: DataFrame, grain: str, *, unique_sequence: bool = False) -> DataFrame:
+    """``period_base`` of some of the bars, with the positions of the first and last one, so that it can be merged with
+    the partials of other bars."""
+    return _placed(bars, grain, unique_sequence).groupBy(F.col("Name").alias("name"), "period").agg(
+        F.max("High").alias("highest_high"),
+        F.min("Low").alias("lowest_low"),
+        F.min("position").alias("first_position"),
+        F.min_by("Open", "position").alias("first_open"),
+        F.max("position").alias("last_position"),
+        F.max_by("Close", "position").alias("last_close"),
+        F.sum("Volume").alias("total_volume"),
+        F.sum("Marketcap").alias("total_marketcap"),
+    )
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of any number of disjoint parts of the bars, put together to what ``period_base`` gives of all."""
+    return partials.groupBy("name", "period").agg(
+        F.max("highest_high").alias("highest_high"),
+        F.min("lowest_low").alias("lowest_low"),
+        F.min_by("first_open", "first_position").alias("first_open"),
+        F.max_by("last_close", "last_position").alias("last_close"),
+        F.sum("total_volume").alias("total_volume"),
+        F.sum("total_marketcap").alias("total_marketcap"),
+    )
+
+
 def year_base_from_months(month_base: DataFrame) -> DataFrame:
     """Year rows from month rows: months are unique per asset, so their first day alone orders opens and closes."""
     return month_base.groupBy("name", period_start(F.col("period"), "year").alias("year_start")).agg(

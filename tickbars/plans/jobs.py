@@ -49,19 +49,67 @@ def bar_rollups(
 ) -> tuple[Table, Table]:
     """Month and year bars of all assets from one read of the files: years are put together from the months.
 
+    For CSV files the lines that were no bars are counted by their problem in the same read, into ``bar_problems``.
+
     A bar file has one numbered row per day, so (Name, Date, SNo) identifies a bar. For files that repeat it,
     ``unique_sequence=False`` settles first and last by price.
     """
-    bars = _bars(spark, paths, landed)
+    seen = None
+    if landed:
+        bars = _bars(spark, paths, landed)
+    else:
+        bars, seen = bar_source.counted_bars(bar_source.read_bar_lines(use_utc(spark), paths))
     months = rollups.period_base(bars, "month", unique_sequence=unique_sequence).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         month_table = _store(rollups.labelled(months, "month"), schemas.MONTH_BARS, root, run_id, store)
+        if seen:
+            counts = [(problem, n) for problem, n in seen.get.items() if problem != "lines"]
+            bar_problems(spark, root).write_batch(spark.createDataFrame(counts, "problem string, n long"), run_id)
         years = rollups.labelled(rollups.year_base_from_months(months), "year")
         return month_table, _store(years, schemas.YEAR_BARS, root, run_id, store)
     finally:
         months.unpersist()
 
 
+def bar_problems(spark: SparkSession, root: str) -> KeyedTable:
+    """Counts of the lines that were no bars, by problem; a snapshot per run."""
+    contract = ResultTable("bar_problems", ("problem", "n"), ("problem",), schemas.MONTH_BARS.keyspace)
+    like = spark.createDataFrame([], "problem string, n long")
+    return KeyedTable.like(like, contract, f"{root.rstrip('/')}/{contract.name}")
+
+
+def bar_rollups_of_new(
+    spark: SparkSession, paths, root: str, run_id: int, landed: bool = False, unique_sequence: bool = True
+) -> tuple[KeyedTable, KeyedTable]:
+    """Month and year bars when bars arrive run by run: ``paths`` are the bars of this run alone.
+
+    A run is reduced to one partial per asset and month, which is stored under its number; earlier bars are not read
+    again. The tables are put together from the stored partials of all runs, whose number is that of assets and months,
+    not of bars. Repeating a run replaces its partials, whichever run it is, and the newest state of the tables is always
+    their last snapshot.
+    """
+    bars = _bars(spark, paths, landed)
+    partials = rollups.period_partials(bars, "month", unique_sequence=unique_sequence)
+    contract = ResultTable("crypto_month_partials", tuple(partials.columns), ("name", "period"), schemas.MONTH_BARS.keyspace)
+    stored = KeyedTable.like(partials, contract, f"{root.rstrip('/')}/{contract.name}")
+    stored.write_batch(partials, run_id)
+    months = rollups.merged_partials(stored.log(spark)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        month_table = _restated(spark, rollups.labelled(months, "month"), schemas.MONTH_BARS, root, run_id)
+        years = rollups.labelled(rollups.year_base_from_months(months), "year")
+        return month_table, _restated(spark, years, schemas.YEAR_BARS, root, run_id)
+    finally:
+        months.unpersist()
+
+
+def _restated(spark: SparkSession, result: DataFrame, contract: ResultTable, root: str, run_id: int) -> KeyedTable:
+    """Store a whole table as its newest snapshot, also when an older run was repeated."""
+    table = KeyedTable.like(result, contract, f"{root.rstrip('/')}/{contract.name}")
+    newest = table.snapshots(spark).agg({"snapshot_id": "max"}).first()[0]
+    table.write_batch(result, run_id if newest is None else max(run_id, newest))
+    return table
+
+
 def asset_summary(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> Table:
     result = rollups.asset_summary(bar_source.read_quotes(use_utc(spark), paths))
     return _store(result, schemas.ASSET_SUMMARY, root, run_id, store)

@@ -197,6 +197,68 @@ select case k % 5 when 1 then 'missing name' when 2 then 'time range' when 3 the
 from raw group by 1
 """
 
+FED = f"""{SECONDS},
+fed as (
+  select *, case when time_stamp < '2024-01-11' then 0 when time_stamp < '2024-01-21' then 1 else 2 end
+            + case when k % 10 = 3 then 1 else 0 end as batch
+  from ticks
+),
+marked as (
+  select fed.*, high_water, high_water - interval 300 seconds as closed
+  from fed left join (
+    select batch, max(newest) over (order by batch rows between unbounded preceding and 1 preceding) as high_water
+    from (select batch, max(time_stamp) as newest from fed group by batch)
+  ) using (batch)
+),
+placed as (
+  select *, time_bucket(interval '30 seconds', time_stamp, timestamp '1970-01-01') - to_seconds(i * 30) as start_time
+  from marked, range(0, 10) as steps(i)
+),
+windowed as (
+  select *, start_time + to_seconds(300) as end_time,
+         closed is not null and start_time + to_seconds(300) <= closed as missed
+  from placed where time_stamp < start_time + to_seconds(300)
+)
+"""
+
+def top_bars_by_asset(by: str) -> str:
+    return f"""{BARS}
+select name as name_coin, symbol as symbol_coin, date, high, low, open, close, volume, market_cap
+from (select *, rank() over (partition by name order by {by} desc) as r from bars) where r <= 10
+"""
+
+
+RANKED = """
+select * exclude (r) from (
+  select *, rank() over (order by percent_change desc) as r from (
+    select name_coin, max(time_stamp) as time_stamp, cast(max(price) as double) as price,
+           max(percent_change) as percent_change
+    from metrics group by name_coin
+  ) where percent_change is not null
+) where r <= 10
+"""
+
+SNAPSHOT_TOTALS = """
+select id,
+       cast(sum(volume) over (partition by date_trunc('hour', time_stamp)) as double) as total_24_volume,
+       cast(sum(market_cap) over (partition by date_trunc('hour', time_stamp)) as double) as total_market_cap
+from ticks
+"""
+
+PRICE_HISTORY = f"""{EXACT}
+select {LIVE_COLUMNS} from metrics
+where symbol_coin = 'purchase' and time_stamp >= '2024-01-08' and time_stamp < '2024-01-22'
+order by time_stamp desc
+"""
+
+PROBLEMS = f"""{DAILY}
+select case sno % 7 when 1 then 'short line' when 2 then 'bad type' when 3 then 'incomplete' else 'none' end as problem,
+       count(*) as n
+from days group by 1
+union all
+select 'header', 1
+"""
+
 ORACLE: dict[str, str] = {
     "bars_by_month": bars_by("month", "%Y-%m"),
     "bars_by_year": bars_by("year", "%Y"),
@@ -220,6 +282,12 @@ from bars group by all
 """,
     "top_bars": top_bars("market_cap"),
     "top_bars_by_volume": top_bars("volume"),
+    "top_bars_by_asset": top_bars_by_asset("market_cap"),
+    "top_bars_by_asset_volume": top_bars_by_asset("volume"),
+    "bars_by_month_of_runs": bars_by("month", "%Y-%m", source="days"),
+    "bars_by_year_of_runs": bars_by("year", "%Y", source="days"),
+    "csv_rejects": PROBLEMS,
+    "job_bar_problems": f"select * from ({PROBLEMS}) where problem <> 'none'",
     "csv_bars": f"""{DAILY}
 select sno as "SNo", name as "Name", symbol as "Symbol", date as "Date", high as "High", low as "Low",
        open as "Open", close as "Close", volume as "Volume", market_cap as "Marketcap" from days
@@ -246,23 +314,16 @@ select id,
 from metrics
 """,
     "live_prices": live_rows(EXACT),
-    "snapshot_totals": f"""{EXACT}
-select id,
-       cast(sum(volume) over (partition by date_trunc('hour', time_stamp)) as double) as total_24_volume,
-       cast(sum(market_cap) over (partition by date_trunc('hour', time_stamp)) as double) as total_market_cap
-from ticks
-""",
+    "snapshot_totals": EXACT + SNAPSHOT_TOTALS,
+    "stream_snapshot_totals": SECONDS + SNAPSHOT_TOTALS,
     "latest_ticks": f"""{EXACT}
 select symbol_coin, time_stamp, id, name_coin, cast(price as double) as price
 from (select *, row_number() over (
         partition by symbol_coin order by time_stamp desc, id desc, name_coin desc, price desc) as r from ticks)
 where r = 1
 """,
-    "price_history": f"""{EXACT}
-select {LIVE_COLUMNS} from metrics
-where symbol_coin = 'purchase' and time_stamp >= '2024-01-08' and time_stamp < '2024-01-22'
-order by time_stamp desc
-""",
+    "price_history": PRICE_HISTORY,
+    "price_history_by_day": PRICE_HISTORY,
     "rolling_stats": windows(EXACT, 300, 30),
     "rolling_stats_half_hourly": windows(EXACT, 21600, 1800),
     "rolling_stats_from_panes": windows(EXACT, 21600, 1800),
@@ -271,15 +332,8 @@ order by time_stamp desc
     "rolling_history": windows(EXACT, 300, 30, where="symbol_coin = 'click'") + "order by end_time desc",
     "top_winners": leaders(EXACT, "desc"),
     "top_losers": leaders(EXACT, "asc"),
-    "ranked_winners": f"""{EXACT}
-select * exclude (r) from (
-  select *, rank() over (order by percent_change desc) as r from (
-    select name_coin, max(time_stamp) as time_stamp, cast(max(price) as double) as price,
-           max(percent_change) as percent_change
-    from metrics group by name_coin
-  ) where percent_change is not null
-) where r <= 10
-""",
+    "ranked_winners": EXACT + RANKED,
+    "stream_ranked_winners": SECONDS + RANKED,
     "market_share": share(EXACT),
     "latest_winners": newest_of_coin(
         "cast(price as double) as price, percent_change", "price desc, percent_change desc nulls last"
@@ -298,6 +352,15 @@ from (
          date_trunc('second', max(time_stamp) over (partition by cast(time_stamp as date), event_id // 100)) as fetched
   from metrics
 )
+""",
+    "payload_rejects": f"""{EXACT},
+documents as (
+  select count(*) as coins, cast(epoch(date_trunc('second', max(time_stamp))) as bigint) as fetched
+  from ticks group by cast(time_stamp as date), event_id // 100
+)
+select 'document' as what, count(*) as n from documents where fetched % 4 = 1
+union all
+select 'coin', cast(sum(coins) as bigint) from documents where fetched % 4 = 2
 """,
     "keyed_upsert": HOURLY_BATCHES,
     "keyed_upsert_compacted": HOURLY_BATCHES,
@@ -311,7 +374,24 @@ select * from ({HOURLY_BATCHES}) where symbol_coin = 'view' and time_stamp < '20
     "stream_top_winners_batches": leaders(SECONDS, "desc"),
     "stream_market_share": share(SECONDS),
     "stream_market_share_batches": share(SECONDS),
+    "stream_top_winners_kept": leaders(SECONDS, "desc"),
+    "stream_top_losers_kept": leaders(SECONDS, "asc"),
+    "stream_market_share_kept": share(SECONDS),
     "stream_landing": REJECTS,
+    "stream_rolling_stats_panes": windows(SECONDS, 300, 30),
+    "stream_on_time_stats": f"""{FED}
+select symbol_coin,
+       cast(sum(price) as double) / count(*) as arithmetic_mean,
+       round(exp(avg(case when price > 0 then ln(cast(price as double)) end)), 6) as geometric_mean,
+       round(stddev_samp(cast(price as double)), 6) as standard_deviation,
+       start_time, end_time
+from windowed where not missed group by symbol_coin, start_time, end_time
+""",
+    "stream_late_ticks": f"""{FED}
+select id, time_stamp, high_water, count(*) filter (where missed) as missed_windows,
+       case when bool_and(missed) then 'late' else 'late in part' end as reject_reason
+from windowed group by all having bool_or(missed)
+""",
     "stream_all": f"""{SECONDS}
 select 'live_prices' as result, count(distinct (symbol_coin, time_stamp)) as n, max(time_stamp) as newest from ticks
 union all

@@ -20,12 +20,14 @@ from tickbars.functions.messages import parse_ticks, reject_reason, to_messages
 from tickbars.operators import boards, live, lookups, ranking, rolling, rollups
 from tickbars.plans import jobs, tables
 from tickbars.session import streaming_session, use_utc, work_dir
+from tickbars.sinks import partitioned
 from tickbars.sinks.keyed import KeyedTable
 from tickbars.sinks.messages import publish_to_files
-from tickbars.sources.bars import read_bars
+from tickbars.sources.bars import land_checked_bars, read_bars, read_checked_bars, read_rejected_lines
+from tickbars.sources.payloads import payload_rejects as rejected_coins
 from tickbars.sources.payloads import payload_ticks, read_payloads
 from tickbars.sources.ticks import read_message_files, read_message_files_stream
-from tickbars.streaming import landing, queries as streams
+from tickbars.streaming import incremental_boards, landing, lateness, queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +125,38 @@ def top_bars_by_volume(spark, sf_dir):
     return plain(ranking.top_bars(tables.bars(spark, sf_dir), by="Volume"))
 
 
+def top_bars_by_asset(spark, sf_dir):
+    return plain(ranking.top_bars_by_asset(tables.bars(spark, sf_dir)))
+
+
+def top_bars_by_asset_volume(spark, sf_dir):
+    """The same by a column of few values, so that most places are shared."""
+    return plain(ranking.top_bars_by_asset(tables.bars(spark, sf_dir), by="Volume"))
+
+
+# Bars that arrive run by run: three runs of landed bars, the second of them twice ------------------------------------
+
+
+def _rollups_in_runs(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, KeyedTable]:
+    """Years mixed by asset, so that a month's bars come in several runs; run 2 is first landed incomplete."""
+    root = work_dir(spark, "runs")
+    days, run = tables.daily_bars(spark, sf_dir), F.pmod(F.col("SNo") + F.length("Name"), F.lit(3)) + 1
+    found = None
+    for number, rows in ((1, run == 1), (2, (run == 2) & (F.col("Volume") > 20)), (3, run == 3), (2, run == 2)):
+        landed = f"{root}/landed/{number}"
+        days.where(rows).write.mode("overwrite").parquet(landed)
+        found = jobs.bar_rollups_of_new(spark, landed, root, number, landed=True)
+    return found
+
+
+def bars_by_month_of_runs(spark, sf_dir):
+    return _bars(_rollups_in_runs(spark, sf_dir)[0].last_snapshot(spark).drop("snapshot_id"))
+
+
+def bars_by_year_of_runs(spark, sf_dir):
+    return _bars(_rollups_in_runs(spark, sf_dir)[1].last_snapshot(spark).drop("snapshot_id"))
+
+
 # Bars through CSV files: daily bars written as CSV, header lines included, go through the whole batch job --------------
 
 
@@ -137,6 +171,39 @@ def csv_bars(spark, sf_dir):
     return plain(bars)
 
 
+def _damaged_bar_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Bar lines with one header line, three in seven of them damaged in different ways."""
+    path, names = f"{root}/csv", ["SNo", "Name", "Symbol", "Date", "High", "Low", "Open", "Close", "Volume", "Marketcap"]
+    fields = [F.col(name).cast("string") for name in names]
+    kind = F.pmod(F.col("SNo"), F.lit(7))
+    line = (
+        F.when(kind == 1, F.concat_ws(",", *fields[:-3]))
+        .when(kind == 2, F.concat_ws(",", *fields[:-2], F.lit("many"), fields[-1]))
+        .when(kind == 3, F.concat_ws(",", *fields[:-2], F.lit(""), fields[-1]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    lines = tables.daily_bars(spark, sf_dir).select(line.alias("value"))
+    lines.unionByName(spark.createDataFrame([(",".join(names),)], "value string")).write.text(path)
+    return path
+
+
+def csv_rejects(spark, sf_dir):
+    """Damaged bar files landed: the bars, and the rejected lines by their problem."""
+    root = work_dir(spark, "rejects")
+    landed = f"{root}/landed"
+    land_checked_bars(spark, _damaged_bar_files(spark, sf_dir, root), landed)
+    bars = read_checked_bars(spark, landed).select(F.lit("none").alias("problem"))
+    found = bars.unionByName(read_rejected_lines(spark, landed).select("problem"))
+    return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
+def job_bar_problems(spark, sf_dir):
+    """What the roll-up job counts while it reads the same files."""
+    root = work_dir(spark, "problems")
+    jobs.bar_rollups(spark, _damaged_bar_files(spark, sf_dir, root), root, RUN)
+    return jobs.bar_problems(spark, root).last_snapshot(spark).drop("snapshot_id")
+
+
 def job_month_bars(spark, sf_dir):
     root = work_dir(spark, "months")
     months, _ = jobs.bar_rollups(spark, _bar_files(spark, sf_dir, root), root, RUN)
@@ -201,7 +268,7 @@ def snapshot_totals(spark, sf_dir):
 
 def latest_ticks(spark, sf_dir):
     ticks = tables.ticks(spark, sf_dir).select("symbol_coin", "time_stamp", "id", "name_coin", "price")
-    return plain(live.latest_per_key(ticks, ["symbol_coin"], ["time_stamp"]))
+    return plain(live.newest_per_key(ticks, ["symbol_coin"], "time_stamp"))
 
 
 def price_history(spark, sf_dir):
@@ -303,6 +370,16 @@ def payload_coins(spark, sf_dir):
     return plain(payload_ticks(read_payloads(spark, path)))
 
 
+def payload_rejects(spark, sf_dir):
+    """Payload documents of which one in four cannot be read and one in four misnames a field: what is set aside."""
+    path, body = f"{work_dir(spark, 'damaged')}/payloads", F.col("body")
+    kind = F.pmod(F.col("fetched_at"), F.lit(4))
+    damaged = F.when(kind == 1, F.left(body, F.lit(5))).when(kind == 2, F.replace(body, F.lit('"price"'), F.lit('"prize"'))).otherwise(body)
+    tables.payloads(spark, sf_dir).withColumn("body", damaged).write.json(path)
+    what = F.when(F.col("id").isNull(), "document").otherwise("coin").alias("what")
+    return rejected_coins(read_payloads(spark, path)).groupBy(what).agg(F.count(F.lit(1)).alias("n"))
+
+
 # Keyed tables ---------------------------------------------------------------------------------------------------------
 
 
@@ -341,6 +418,14 @@ def stored_price_history(spark, sf_dir):
     return plain(lookups.price_history(table.latest(spark, wanted), "view"))
 
 
+def price_history_by_day(spark, sf_dir):
+    """The same range as ``price_history``, out of prices stored by day."""
+    path, prices = f"{work_dir(spark, 'days')}/prices", live.live_prices(_ticks(spark, sf_dir))
+    partitioned.write_by_day(prices, path)
+    stored = partitioned.read_by_day(spark, path, prices.schema)
+    return plain(partitioned.history(stored, "purchase", "2024-01-08", "2024-01-22"))
+
+
 # Streams: the ticks as message files, one availableNow run into a fresh table, and the table read back ----------------
 
 
@@ -397,6 +482,55 @@ def stream_market_share_batches(spark, sf_dir):
     return plain(lookups.share_view(table.last_snapshot(spark)).drop("snapshot_id"))
 
 
+def _kept_board(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A board kept up to date over four batches."""
+    _, root, messages = _message_stream(spark, sf_dir, name, batches=4)
+    ticks = landing.accepted_ticks(messages)
+    kept, query = incremental_boards.start_board(name, ticks, root, availableNow=True)
+    streams.await_all([query])
+    return plain(kept.boards.last_snapshot(spark).drop("snapshot_id"))
+
+
+def stream_top_winners_kept(spark, sf_dir):
+    return _kept_board(spark, sf_dir, "top_winners")
+
+
+def stream_top_losers_kept(spark, sf_dir):
+    return _kept_board(spark, sf_dir, "top_losers")
+
+
+def stream_market_share_kept(spark, sf_dir):
+    return _kept_board(spark, sf_dir, "market_share")
+
+
+def stream_ranked_winners(spark, sf_dir):
+    """Winners ranked with ties inside each of three micro-batches."""
+    _, root, messages = _message_stream(spark, sf_dir, "ranked", batches=3)
+    coins = boards.leaders(live.with_metrics(landing.accepted_ticks(messages)))
+    table = KeyedTable.like(coins, schemas.BIGGEST_WINNERS, f"{root}/ranked")
+
+    def rank(batch: DataFrame, number: int) -> None:
+        table.write_batch(boards.ranked_winners(batch), number)
+
+    writer = coins.writeStream.outputMode("complete").foreachBatch(rank).option("checkpointLocation", table.checkpoint)
+    streams.await_all([writer.trigger(availableNow=True).start()])
+    return plain(table.last_snapshot(spark).drop("snapshot_id"))
+
+
+def stream_snapshot_totals(spark, sf_dir):
+    """Hourly totals put on the ticks of a feed that has none; a last tick, far ahead, ends all hours."""
+    root = work_dir(spark, "totals")
+    ticks = _ticks(spark, sf_dir)
+    bare = ticks.unionByName(_flush(ticks)).withColumns({name: F.lit(None).cast("double") for name in ("total_24_volume", "total_market_cap")})
+    publish_to_files(bare, f"{root}/messages")
+    messages = read_message_files_stream(streaming_session(spark), f"{root}/messages")
+    totals = streams.totals_stream(landing.accepted_ticks(messages))
+    contract = schemas.ResultTable("tick_totals", ("id", "time_stamp", "total_24_volume", "total_market_cap"), ("id",), "crypto")
+    table = KeyedTable.like(totals, contract, f"{root}/totals")
+    streams.await_all([streams.upsert_stream(totals, table, "append", availableNow=True)])
+    return plain(table.latest(spark).drop("time_stamp"))
+
+
 def stream_landing(spark, sf_dir):
     """Damaged messages landed by the shared step: its accepted ticks and its quarantine, counted by reason."""
     root = work_dir(spark, "landing")
@@ -409,6 +543,57 @@ def stream_landing(spark, sf_dir):
     return accepted.unionByName(rejected).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _flush(ticks: DataFrame, days: int = 400) -> DataFrame:
+    """One tick, later than all others by far: behind it every window is closed."""
+    fields = [field for field in ticks.schema.fields if field.name not in ("name_coin", "symbol_coin", "time_stamp")]
+    newest = ticks.agg(F.timestamp_add("DAY", F.lit(days), F.max("time_stamp")).alias("time_stamp"))
+    empty = {field.name: F.lit(None).cast(field.dataType) for field in fields}
+    return newest.select("time_stamp", F.lit("flush").alias("name_coin"), F.lit("flush").alias("symbol_coin"), *[c.alias(n) for n, c in empty.items()])
+
+
+def stream_rolling_stats_panes(spark, sf_dir):
+    """The ticks in three batches through panes; a last tick, far ahead, closes all windows."""
+    root = work_dir(spark, "panes")
+    ticks = _ticks(spark, sf_dir)
+    publish_to_files(ticks.unionByName(_flush(ticks)).repartitionByRange(3, "time_stamp"), f"{root}/messages")
+    messages = read_message_files_stream(streaming_session(spark), f"{root}/messages")
+    table, query = streams.start_query("rolling_stats_panes", landing.accepted_ticks(messages), root, availableNow=True)
+    streams.await_all([query])
+    return _windows(table.latest(spark))
+
+
+def _landed_with_late_ticks(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str, str]:
+    """A landing folder of four batches: ten days each but for the last, to which a tenth of the ticks of each batch come
+    a batch too late."""
+    root = work_dir(spark, "late")
+    ticks = _ticks(spark, sf_dir)
+    day = F.col("time_stamp").cast("date")
+    due = F.when(day < F.lit("2024-01-11"), 0).when(day < F.lit("2024-01-21"), 1).otherwise(2)
+    ticks = ticks.withColumn("batch", due + F.when(F.col("price_old") % 10 == 3, 1).otherwise(0))
+    session, landed = streaming_session(spark), f"{root}/ticks"
+    for batch in range(4):
+        publish_to_files(ticks.where(F.col("batch") == batch).drop("batch"), f"{root}/messages/{batch}")
+        messages = read_message_files_stream(session, f"{root}/messages/*")
+        streams.await_all([lateness.land_ticks_marked(messages, landed, f"{root}/ticks_checkpoint", availableNow=True)])
+    return session, root, landed
+
+
+def stream_on_time_stats(spark, sf_dir):
+    """Window statistics of a stream with late ticks: each tick is in the windows that were open when it came."""
+    session, root, landed = _landed_with_late_ticks(spark, sf_dir)
+    stats = lateness.rolling_on_time_stream(lateness.read_marked_stream(session, landed))
+    table = streams.open_table(stats, schemas.ROLLING_MEANS, root, "files")
+    streams.await_all([streams.upsert_stream(stats, table, "update", availableNow=True)])
+    return _windows(table.latest(spark))
+
+
+def stream_late_ticks(spark, sf_dir):
+    """The late ticks of the same stream, out of its landing folder."""
+    _, _, landed = _landed_with_late_ticks(spark, sf_dir)
+    late = lateness.late_ticks(lateness.read_marked(spark, landed))
+    return plain(late.select("id", "time_stamp", "high_water", "missed_windows", "reject_reason"))
+
+
 def stream_all(spark, sf_dir):
     """Landing first, then all five queries at once on the landed ticks; the size and newest time of each table."""
     session, root, messages = _message_stream(spark, sf_dir, "all")
@@ -442,7 +627,13 @@ QUERIES: dict[str, Query] = {
         formatted_bars,
         top_bars,
         top_bars_by_volume,
+        top_bars_by_asset,
+        top_bars_by_asset_volume,
+        bars_by_month_of_runs,
+        bars_by_year_of_runs,
         csv_bars,
+        csv_rejects,
+        job_bar_problems,
         job_month_bars,
         job_year_bars,
         job_asset_summary,
@@ -468,9 +659,11 @@ QUERIES: dict[str, Query] = {
         tick_messages,
         tick_rejects,
         payload_coins,
+        payload_rejects,
         keyed_upsert,
         keyed_upsert_compacted,
         stored_price_history,
+        price_history_by_day,
         stream_live_prices,
         stream_rolling_stats,
         stream_top_winners,
@@ -478,7 +671,15 @@ QUERIES: dict[str, Query] = {
         stream_top_losers,
         stream_market_share,
         stream_market_share_batches,
+        stream_top_winners_kept,
+        stream_top_losers_kept,
+        stream_market_share_kept,
+        stream_ranked_winners,
+        stream_snapshot_totals,
         stream_landing,
+        stream_rolling_stats_panes,
+        stream_on_time_stats,
+        stream_late_ticks,
         stream_all,
     )
 }

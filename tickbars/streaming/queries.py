@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickbars import schemas
 from tickbars.operators import boards
-from tickbars.operators.live import live_prices, with_metrics
-from tickbars.operators.rolling import rolling_stats
+from tickbars.operators.live import live_prices, with_metrics, with_window_totals
+from tickbars.operators.rolling import rolling_stats, rolling_stats_from_panes
 from tickbars.schemas import SLIDE_DURATION, WATERMARK, WINDOW_DURATION, ResultTable
 from tickbars.sinks.external import CassandraTable
 from tickbars.sinks.keyed import KeyedTable
@@ -28,6 +28,21 @@ def rolling_stream(
     return rolling_stats(ticks.withWatermark("time_stamp", watermark), duration, slide)
 
 
+def rolling_panes_stream(
+    ticks: DataFrame,
+    watermark: str = WATERMARK,
+    duration: str = WINDOW_DURATION,
+    slide: str = SLIDE_DURATION,
+) -> DataFrame:
+    """The same statistics through panes, in append mode: each window once, when the watermark has passed its end."""
+    return rolling_stats_from_panes(ticks.withWatermark("time_stamp", watermark), duration, slide)
+
+
+def totals_stream(ticks: DataFrame, snapshot: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
+    """Ticks of a feed without totals, with those of their snapshot, in append mode once the snapshot is over."""
+    return with_window_totals(ticks.withWatermark("time_stamp", watermark), snapshot)
+
+
 # Each query: the result it computes from a tick stream, its table, and its output mode. Updated windows are emitted
 # again as a whole, hence the upsert; boards are sorted, which a stream allows in complete mode only.
 QUERIES: dict[str, tuple[Callable[[DataFrame], DataFrame], ResultTable, str]] = {
@@ -38,6 +53,9 @@ QUERIES: dict[str, tuple[Callable[[DataFrame], DataFrame], ResultTable, str]] =
     "market_share": (lambda ticks: boards.market_share(with_metrics(ticks)), schemas.MARKET_SHARE, "complete"),
 }
 
+#: Takes the place of ``rolling_stats`` where a window's first result may wait until it closes.
+CLOSED_WINDOWS = {"rolling_stats_panes": (rolling_panes_stream, schemas.ROLLING_MEANS, "append")}
+
 
 def upsert_stream(df: DataFrame, table: Table, output_mode: str, **trigger) -> StreamingQuery:
     """Write every micro-batch to ``table`` under its batch number: a batch repeated after a failure replaces itself."""
@@ -49,8 +67,8 @@ def upsert_stream(df: DataFrame, table: Table, output_mode: str, **trigger) -> S
 def start_query(
     name: str, ticks: DataFrame, root: str, *, store: str = "files", **trigger
 ) -> tuple[Table, StreamingQuery]:
-    """Start one of ``QUERIES`` on a tick stream, with its progress and (``store="files"``) its table under ``root``."""
-    compute, contract, mode = QUERIES[name]
+    """Start one of ``QUERIES`` or ``CLOSED_WINDOWS`` on a tick stream, with its progress and (``store="files"``) its table under ``root``."""
+    compute, contract, mode = (QUERIES | CLOSED_WINDOWS)[name]
     result = compute(ticks)
     table = open_table(result, contract, root, store)
     return table, upsert_stream(result, table, mode, **trigger)
