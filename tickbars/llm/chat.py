@@ -6,8 +6,8 @@ is worked out once per fingerprint. A mapping lists turns: a role, or the path o
 the record or of each element of an array. Unknown layouts give no turns and a null layout; nothing is dropped.
 
 The template writes each turn as ``### role: text</turn>`` and a line end. Inside roles and texts a backslash is doubled
-and a control string gets a backslash after its first character (``<\/turn>``, ``#\##``, and ``:\ `` in roles), so no
-control string is left inside and the text can be read back exactly; a null role is ``\0``. The loss mask is the list of
+and a control string is broken by one: ``<\/turn>``, ``:\ `` in roles, and one before each ``#`` of three or more in a row
+(``\#\#\#``), so no control string is left inside and the text can be read back exactly; a null role is ``\0``. The loss mask is the list of
 spans (code points) of assistant texts.
 
 Null texts are empty turns. Turns of equal number keep a fixed order, by role and text. A record that is no JSON object
@@ -26,6 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickbars.llm.words import slices
+
+#: Conversations that are Python objects at a time.
+ROWS = 256
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 TURNS = "array<struct<role:string,text:string>>"
 ASSISTANT = "assistant"
@@ -128,7 +132,8 @@ def canonical(record: dict, mapping: Mapping) -> list[tuple[str | None, str]]:
 
 def escaped(text: str) -> str:
     text = text.replace("\\", "\\\\")
-    return text.replace("</turn>", "<\\/turn>").replace("###", "#\\##")
+    text = text.replace("</turn>", "<\\/turn>")
+    return re.sub("#{3,}", lambda run: "\\#" * len(run[0]), text)
 
 
 def unescaped(text: str) -> str:
@@ -165,7 +170,7 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: tuple[
 
     def mapped(batches):
         known: dict[str, Mapping | None] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, record)):
             prints, layouts, turns = [], [], []
             for text in batch.column(record).to_pylist():
                 try:
@@ -199,7 +204,7 @@ def with_format(chats: DataFrame, turns: str = "turns") -> DataFrame:
     names = [n for n in chats.columns if n != turns]
 
     def written_out(batches):
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             found = [formatted([(x["role"], x["text"]) for x in row or []]) for row in batch.column(turns).to_pylist()]
             spans = [[{"low": low, "high": high} for low, high in own] for _, own in found]
             yield pa.RecordBatch.from_arrays(
@@ -225,7 +230,7 @@ def digests(chats: DataFrame, carry: list[str]) -> DataFrame:
     names = [*carry, *(f.name for f in T._parse_datatype_string(DIGESTS).fields)]
 
     def read(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "formatted")):
             rows = []
             for text, spans in zip(
                 batch.column("formatted").to_pylist(), batch.column("loss_spans").to_pylist(), strict=True

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,18 +103,20 @@ def benchmark_windows(benchmark: DataFrame, id: str = "item_id", text: str = "te
 
 
 def _collected(windows: DataFrame) -> Windows:
-    rows = windows.toPandas().sort_values(["length", "window", "item"], kind="stable")
-    length, window = rows["length"].to_numpy(), rows["window"].to_numpy().view(np.uint64)
-    item = rows["item"].to_numpy(dtype=float, na_value=np.nan)
+    table = windows.toArrow()
+    # Ids stay whole numbers; which of them are null is told beside them.
+    length, window = table.column("length").to_numpy(), table.column("window").to_numpy().view(np.uint64)
+    item, there = pc.fill_null(table.column("item"), 0).to_numpy(), pc.is_valid(table.column("item")).to_numpy()
+    order = np.lexsort((item, ~there, window, length))
+    length, window, item, there = length[order], window[order], item[order], there[order]
     hashes, first, items = {}, {}, {}
     for n in np.unique(length[length > 0]).tolist():
         mine = np.flatnonzero(length == n)
         mine = mine[np.argsort(window[mine], kind="stable")]
         hashes[n], begins = np.unique(window[mine], return_index=True)
-        ids = rows["item"].to_numpy(dtype=object)[mine]
-        known = ~np.isnan(item[mine])
+        known = there[mine]
         first[n] = np.concatenate(([0], np.cumsum(known)))[[*begins.tolist(), len(mine)]]
-        items[n] = ids[known].astype(np.int64)
+        items[n] = item[mine][known]
     return Windows(np.unique(window[length == 0]), hashes, first, items)
 
 

@@ -172,7 +172,8 @@ def fit(labelled: DataFrame) -> Model:
     """Learn from a frame (id, text, lang); rows without a text or a language teach nothing."""
     labelled = labelled.where("lang is not null and text is not null")
     seen = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    languages = sorted(r.lang for r in seen.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect())
+    sizes = {r.lang: r.n for r in seen.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()}
+    languages = sorted(sizes)
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} labelled languages")
     if not languages:
@@ -180,10 +181,14 @@ def fit(labelled: DataFrame) -> Model:
     frequency, total = document_frequencies(labelled)
     idf = np.log((1 + total) / (1 + frequency)) + 1
     each = max(2, SAMPLE // len(languages))
-    # The top of each language by hash; Spark cuts each task's rows to that many before it shuffles.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(6)), "id")
-    ids = labelled.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
-    sample = labelled.where(F.col("lang").isin(languages)).join(F.broadcast(ids), ["id", "lang"])
+    # Of each language the rows below a hash that leaves somewhat more than are wanted, and of these the lowest: a few
+    # rows are ranked, whatever the table holds. Rows that repeat an id count singly, so they cannot add to the number.
+    draw = F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1 << 30))
+    most = {x: int((1 << 30) * min(1.0, (1.5 * each + 20) / n)) for x, n in sizes.items()}
+    below = F.create_map(*[F.lit(x) for pair in most.items() for x in pair])[F.col("lang")]
+    order = Window.partitionBy("lang").orderBy("draw", "id", "text")
+    drawn = labelled.select("id", "lang", "text", draw.alias("draw")).where(F.col("draw") < below)
+    sample = drawn.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
     known = labelled.sparkSession.sparkContext.broadcast(idf)
 
     def sparse(batches):
