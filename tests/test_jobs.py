@@ -66,3 +66,11 @@ def test_stream_command_needs_the_kafka_package(spark, tmp_path):
     command = ["stream", "--servers", "localhost:1", "--output", str(tmp_path), "--option", "startingOffsets=earliest"]
     with pytest.raises(Exception, match="(?i)kafka"):
         jobs.main(command)
+
+
+def test_incomplete_quotes_are_counted(spark, tmp_path):
+    (tmp_path / "quotes.csv").write_text("name1,price,marketCap\nA,2.0,10\nA,,5\nB,x,5\n,1,1\nB,1,1\n")
+    table = jobs.asset_summary(spark, str(tmp_path / "quotes.csv"), str(tmp_path / "out"), 3)
+    assert {r.name for r in table.latest(spark).collect()} == {"A", "B"}
+    counts = jobs.quote_counts(spark, str(tmp_path / "out")).last_snapshot(spark)
+    assert rows(counts.drop("snapshot_id")) == [("rows_read", 5), ("rows_rejected", 3)]

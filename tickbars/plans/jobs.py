@@ -16,8 +16,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tickbars import schemas
-from tickbars.operators import ranking, rollups
-from tickbars.schemas import POLL_INTERVAL, TOPIC, ResultTable
+from tickbars.operators import quality, ranking, rollups
+from tickbars.schemas import POLL_INTERVAL, QUOTE, TOPIC, ResultTable
 from tickbars.session import streaming_session, use_utc
 from tickbars.sinks.keyed import KeyedTable
 from tickbars.sources import bars as bar_source
@@ -111,8 +111,18 @@ def _restated(spark: SparkSession, result: DataFrame, contract: ResultTable, roo
 
 
 def asset_summary(spark: SparkSession, paths, root: str, run_id: int, store: str = "files") -> Table:
-    result = rollups.asset_summary(bar_source.read_quotes(use_utc(spark), paths))
-    return _store(result, schemas.ASSET_SUMMARY, root, run_id, store)
+    """The summaries; the quotes read and those left out as incomplete are counted on the way, into ``quote_counts``."""
+    raw = bar_source.read_quotes_raw(use_utc(spark), paths)
+    quotes, seen = quality.counted(raw, QUOTE.fieldNames(), "quotes")
+    table = _store(rollups.asset_summary(quotes), schemas.ASSET_SUMMARY, root, run_id, store)
+    quote_counts(spark, root).write_batch(spark.createDataFrame(list(seen.get.items()), "what string, n long"), run_id)
+    return table
+
+
+def quote_counts(spark: SparkSession, root: str) -> KeyedTable:
+    """``rows_read`` and ``rows_rejected`` of the quotes; a snapshot per run."""
+    contract = ResultTable("quote_counts", ("what", "n"), ("what",), schemas.ASSET_SUMMARY.keyspace)
+    return KeyedTable.like(spark.createDataFrame([], "what string, n long"), contract, f"{root.rstrip('/')}/{contract.name}")
 
 
 def top_bars(

@@ -105,6 +105,11 @@ def read_landed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_quotes(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The complete rows of ``read_quotes_raw``."""
+    return drop_incomplete(read_quotes_raw(spark, paths))
+
+
+def read_quotes_raw(spark: SparkSession, paths: Paths) -> DataFrame:
     """Name, price and market capitalisation from CSV files with a header, whatever other columns they have.
 
     Only the header line is looked at for the layout: types are given, not inferred, which would read everything twice.
@@ -117,4 +122,4 @@ def read_quotes(spark: SparkSession, paths: Paths) -> DataFrame:
     types = {field.name: field.dataType for field in QUOTE}
     layout = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in names])
     reader = spark.read.schema(layout).option("header", True).option("enforceSchema", False)
-    return drop_incomplete(reader.csv(paths).select(*QUOTE.fieldNames()))
+    return reader.csv(paths).select(*QUOTE.fieldNames())

@@ -96,7 +96,7 @@ class IncrementalBoard:
         merged = self.coins.log(spark, batch_id - 1, batch_id).select(*self.coins.contract.columns)
         before = self._board_before(spark, batch_id)
         names = [row[NAME] for row in before]
-        now = {row[NAME]: row for row in merged.where(F.col(NAME).isin(names)).collect()} if names else {}
+        now = {row[NAME]: row for row in merged.where(F.col(NAME).isin(names)).head(self.n)} if names else {}
         if any(self.rule.place(now[row[NAME]]) > self.rule.place(row) for row in before if row[NAME] in now):
             candidates = self.coins.latest(spark, upto=batch_id)
         else:
@@ -107,7 +107,7 @@ class IncrementalBoard:
     def _stored(self, changed: DataFrame, upto: int) -> DataFrame:
         """The partials that the changed coins had before."""
         spark = changed.sparkSession
-        names = [row[NAME] for row in changed.select(NAME).limit(FEW + 1).collect()]
+        names = [row[NAME] for row in changed.select(NAME).head(FEW + 1)]
         if len(names) <= FEW and None not in names:
             return self.coins.latest(spark, F.col(NAME).isin(names), upto)
         stored = self.coins.latest(spark, upto=upto)
@@ -119,7 +119,7 @@ class IncrementalBoard:
         newest = earlier.agg(F.max("batch_id")).first()[0]
         if newest is None:
             return []
-        return self.boards.log(spark, newest - 1, newest).drop("batch_id").collect()
+        return self.boards.log(spark, newest - 1, newest).drop("batch_id").head(self.n)
 
 
 def start_board(
