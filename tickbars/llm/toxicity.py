@@ -10,7 +10,10 @@ and split in three by hash: one part gives the trees, one the calibration. The t
 sample give the lexicon. Every text is scored whole.
 
 Null and empty texts have all rates 0 and get the score of such a text. Null labels are not learned from; of several
-labels for one id the largest counts. Without labels of both kinds every text gets the share of toxic labels, or 0.
+labels for one id the largest counts. Without labels of both kinds every text gets the share of toxic labels, or 0, and
+``drop_toxic`` drops nothing.
+
+Up to MOST_BROADCAST labels are sent to the documents, which stay where they are read; more are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from tickbars.llm.words import Words, ranges, slices, words_of
 
 MOST_LABELLED = 20_000
 LEXICON_SIZE = 4_000
+MOST_BROADCAST = 1 << 20
 LEAST_DOCUMENTS = 4
 MEDIUM, STRONG = 1.5, 3.5
 NEAR = 5
@@ -104,11 +108,12 @@ def counts_by_label(docs: DataFrame) -> DataFrame:
             for part in slices(batch):
                 words = _split(part.column("text"))
                 toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
-                text = np.tile(words.text, 1 + len(STEMS)).astype(np.uint64)
-                units = np.concatenate(_units(words, _PLAIN[words.data]))
-                text, units = np.unique(np.stack((text, units)), axis=1) if len(units) else (text, units)
-                unit, at = np.unique(units, return_inverse=True)
-                bad = np.bincount(at, weights=toxic[text.astype(np.int64)], minlength=len(unit)).astype(np.int64)
+                text = np.tile(words.text, 1 + len(STEMS))
+                unit, at = np.unique(np.concatenate(_units(words, _PLAIN[words.data])), return_inverse=True)
+                # Each unit once per text: both as one number, in order of the texts.
+                pair = np.unique(text * np.int64(len(unit)) + at)
+                text, at = pair // max(len(unit), 1), pair % max(len(unit), 1)
+                bad = np.bincount(at, weights=toxic[text], minlength=len(unit)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(unit.view(np.int64)),
@@ -245,7 +250,9 @@ def fit(labelled: DataFrame) -> Model:
     if any(part.select("label").distinct().count() < 2 for part in (trees_part, last_part)):
         return Model(lexicon, share)
     # The sample is bounded; one partition spares every round of boosting a shuffle.
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(trees_part.coalesce(1).cache())
+    kept = trees_part.coalesce(1).persist()
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(kept)
+    kept.unpersist()
     raw = trees.transform(last_part).select("label", _raw().alias("features"))
     steps = IsotonicRegression().fit(raw)
     return Model(lexicon, share, trees, list(steps.boundaries), list(steps.predictions))
@@ -256,13 +263,12 @@ def _raw() -> Column:
 
 
 def _calibrated(raw: Column, model: Model) -> Column:
-    """Linear between the step points, as isotonic regression predicts. The points are few: trees give few values."""
-    value = F.lit(model.calibrated[-1])
+    """Linear between the step points, as isotonic regression predicts. One flat list of cases, however many points."""
+    value = F.when(raw <= model.raw[0], F.lit(model.calibrated[0]))
     points = list(zip(model.raw, model.calibrated, strict=True))
-    for (x0, y0), (x1, y1) in reversed(list(zip(points, points[1:], strict=False))):
-        inside = F.lit(y0) if x1 == x0 else y0 + (raw - x0) * ((y1 - y0) / (x1 - x0))
-        value = F.when(raw < x1, inside).otherwise(value)
-    return F.when(raw <= model.raw[0], F.lit(model.calibrated[0])).otherwise(value)
+    for (x0, y0), (x1, y1) in zip(points, points[1:], strict=False):
+        value = value.when(raw < x1, F.lit(y0) if x1 == x0 else y0 + (raw - x0) * ((y1 - y0) / (x1 - x0)))
+    return value.otherwise(F.lit(model.calibrated[-1]))
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
@@ -288,9 +294,13 @@ def _scored(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
 def labelled(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (id, text, toxic) of the documents that have a label."""
     known = labels.where("toxic is not null").groupBy(F.col(id).alias("id")).agg(F.max("toxic").alias("toxic"))
+    if known.count() <= MOST_BROADCAST:
+        known = F.broadcast(known)
     return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(known, "id")
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows below the threshold, with their columns."""
+    """The rows below the threshold, with their columns; all rows if the labels could not teach what is toxic."""
+    if model.trees is None:
+        return docs
     return with_scores(docs, model, text, "__score").where(F.col("__score") < threshold).drop("__score")
