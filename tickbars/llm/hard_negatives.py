@@ -2,11 +2,15 @@
 
 Vectors become whole numbers, floor(SCALE * x), and a row's score is its integer inner product with the anchor. One more
 coordinate, sqrt(M^2 - |x|^2) with M the largest norm, puts all candidates on one sphere, where an anchor has a zero:
-inner products stay, and order candidates as angles do. A cover tree halves its covering angle from level to level. Of a
-node whose centre stands at angle t from the anchor and whose rows lie within angle r of the centre, every score is
-between |q| M cos(t + r) and |q| M cos(t - r). A descent opens the node with the highest upper bound first, capped by the
-window's end, skips nodes outside the window, and ends when no node left can hold a row that ranks among those found.
-Bounds are widened by more than their rounding; rows of opened leaves are scored in whole numbers.
+inner products stay, and order candidates as angles do.
+
+A cover tree halves its covering angle from level to level: the centres of a node's children are farther from each other
+than that and cover its rows. A node has WIDTH children at most; where more centres were needed, as in many dimensions
+without clusters, the rows left go to the nearest centre, and the covering angle, which is measured, is wider. Of a node
+whose centre stands at angle t from the anchor and whose rows lie within angle r of the centre, every score is between
+|q| M cos(t + r) and |q| M cos(t - r). A descent opens the node with the highest upper bound first, capped by the window's
+end, skips nodes outside the window, and ends when no node left can hold a row that ranks among those found. Bounds are
+widened by more than their rounding; rows of opened leaves are scored in whole numbers, once per anchor.
 
 Candidates are dealt to blocks of about BLOCK rows by a hash of id and vector, whatever their label, and each block's tree
 is built in one task and written once. Anchors are packed in blocks of at most ANCHORS. Every anchor block meets every
@@ -34,9 +38,12 @@ from tickbars.llm.shared import written
 SCALE = 256
 POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90
-BLOCK = 16_384
+BLOCK = 4096
 ANCHORS = 1024
-LEAF = 256
+LEAF = 512
+WIDTH = 16
+#: Tasks that block pairs are dealt to, where there are as many pairs.
+TASKS = 4096
 #: Wider than the rounding of an angle or a bound in doubles.
 SLACK = 1e-6
 _LEAST, _MOST = -(2**63), 2**63 - 1
@@ -70,7 +77,8 @@ class Tree:
             angles.append(angle)
             if len(members) <= leaf or angle <= SLACK:
                 nodes.append((centre, 0, 0, len(order), len(order) + len(members)))
-                order.extend(members.tolist())
+                # By id, so that a stable sort by score leaves ties in their order.
+                order.extend(members[np.lexsort((points[members], ids[members]))].tolist())
                 continue
             children = list(_net(members, rows, unit, centre, angle / 2))
             nodes.append((centre, len(queue), len(queue) + len(children), 0, 0))
@@ -86,52 +94,68 @@ class Tree:
         """For each window: its number, and places and scores of the first ``k`` rows of this tree, best first."""
         found = []
         plain = self.vectors.astype(np.float64)
+        centres, wide = plain[self.nodes[:, 0]], self.angles + SLACK
+        most = int(np.abs(self.vectors).max(initial=0))
+        nodes = self.nodes.tolist()
         for i in range(len(anchors.ids)):
             q = anchors.vectors[i].astype(np.float64)
-            length = float(np.sqrt(q @ q))
-            reach = length * norm
-            centre = np.arccos(np.clip(plain[self.nodes[:, 0]] @ q / (reach or 1.0), -1, 1))
-            wide = self.angles + SLACK
+            reach = float(np.sqrt(q @ q)) * norm
+            centre = np.arccos(np.clip(centres @ q / (reach or 1.0), -1, 1))
             slack = reach * SLACK + 1
             upper = reach * np.cos(np.maximum(centre - wide, 0)) + slack
             lower = reach * np.cos(np.minimum(centre + wide, np.pi)) - slack
-            scores: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            # Doubles are exact as far as they can count.
+            exact = plain if most * int(np.abs(anchors.vectors[i]).max(initial=0)) * len(q) < 2**53 else None
+            leaves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+            def leaf(row: int, last: int, i=i, q=q, exact=exact):
+                """The rows that may be a positive, or a negative, best first: negated scores and places."""
+                fit = (self.labels[row:last] == anchors.labels[i]) == same_label
+                fit &= self.ids[row:last] != anchors.ids[i]
+                if exact is None:
+                    scores = products(self.vectors[row:last][fit], anchors.vectors[i])
+                else:
+                    scores = (exact[row:last] @ q)[fit].astype(np.int64)
+                # Negated as ~x, which cannot overflow.
+                scores = ~scores
+                order = np.argsort(scores, kind="stable")
+                return scores[order], (np.flatnonzero(fit) + row)[order]
+
             for window in range(anchors.first[i], anchors.first[i + 1]):
                 low, high = int(anchors.low[window]), int(anchors.high[window])
-                places, best = self._descend(anchors, i, upper, lower, low, high, k, same_label, scores)
+                places, negated = self._descend(nodes, upper, lower, low, high, k, leaf, leaves)
                 if len(places):
-                    found.append((window, places, best))
+                    found.append((window, places, ~negated))
         return found
 
-    def _descend(self, anchors, i, upper, lower, low, high, k, same_label, scores):
-        places, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        heap = [(-min(upper[0], float(high)), 0)] if len(self.nodes) and upper[0] >= low and lower[0] <= high else []
+    def _descend(self, nodes, upper, lower, low, high, k, leaf, leaves):
+        """Best first from the root; ``negated`` holds the best rows' scores, the last of them is the one to beat."""
+        places, negated = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        top = float(high)
+        heap = [(-min(upper[0], top), 0)] if nodes and upper[0] >= low and lower[0] <= high else []
         while heap:
             bound, node = heapq.heappop(heap)
-            if len(best) == k and -bound < best[-1]:
+            if len(places) == k and -bound < ~negated[-1]:
                 break
-            _, child, last_child, row, last_row = self.nodes[node]
+            _, child, last_child, row, last_row = nodes[node]
             if last_child > child:
                 inside = np.flatnonzero((upper[child:last_child] >= low) & (lower[child:last_child] <= high)) + child
                 for at in inside.tolist():
-                    key = min(upper[at], float(high))
-                    if len(best) < k or key >= best[-1]:
+                    key = min(upper[at], top)
+                    if len(places) < k or key >= ~negated[-1]:
                         heapq.heappush(heap, (-key, at))
                 continue
-            if node not in scores:
-                # The leaf's rows that may be a positive, or a negative, with their exact scores.
-                rows = np.arange(row, last_row)
-                rows = rows[((self.labels[rows] == anchors.labels[i]) == same_label) & (self.ids[rows] != anchors.ids[i])]
-                scores[node] = rows, products(self.vectors[rows], anchors.vectors[i])
-            rows, exact = scores[node]
-            least = max(low, int(best[-1])) if len(best) == k else low
-            some = np.flatnonzero((exact >= least) & (exact <= high))
-            if len(some):
-                places, best = np.concatenate((places, rows[some])), np.concatenate((best, exact[some]))
-                # Scores are negated by ~x, which cannot overflow.
-                first = np.lexsort((self.points[places], self.ids[places], ~best))[:k]
-                places, best = places[first], best[first]
-        return places, best
+            if node not in leaves:
+                leaves[node] = leaf(row, last_row)
+            scores, rows = leaves[node]
+            first = scores.searchsorted(~high)
+            last = min(scores.searchsorted(~low, side="right"), first + k)
+            if last <= first or len(places) == k and scores[first] > negated[-1]:
+                continue
+            places, negated = np.concatenate((places, rows[first:last])), np.concatenate((negated, scores[first:last]))
+            order = np.lexsort((self.points[places], self.ids[places], negated))[:k]
+            places, negated = places[order], negated[order]
+        return places, negated
 
 
 @dataclass
@@ -153,18 +177,24 @@ def _angles(cosines: np.ndarray) -> np.ndarray:
 
 
 def _net(members, rows, unit, centre, radius):
-    """Members within ``radius`` of centres that are farther than that from each other; the first is the node's own."""
-    left = np.arange(len(members))
-    while len(left):
-        near = _angles(rows @ unit[centre])[left] <= radius
+    """Members within ``radius`` of centres that are farther than that from each other; the first is the node's own. Rows
+    that WIDTH centres leave over go to the nearest."""
+    centres, parts, left = [], [], np.arange(len(members))
+    while len(left) and len(centres) < WIDTH:
+        near = _angles(rows[left] @ unit[centre]) <= radius
         # The centre itself, whose angle may be rounded.
         near |= members[left] == centre
-        yield centre, members[left[near]]
+        centres.append(centre)
+        parts.append([left[near]])
         left = left[~near]
         if len(left):
             centre = members[left[0]]
-            if 2 * len(left) < len(rows):
-                members, rows, left = members[left], rows[left], np.arange(len(left))
+    if len(left):
+        nearest = (rows[left] @ unit[centres].T).argmax(axis=1)
+        for i, part in enumerate(parts):
+            part.append(left[nearest == i])
+    for centre, part in zip(centres, parts, strict=True):
+        yield centre, members[np.concatenate(part)]
 
 
 def products(vectors: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -222,6 +252,7 @@ def _searched(trees: DataFrame, anchors: DataFrame, blocks: int, width: int, nor
     packs = anchors.groupBy("part").agg(F.collect_list(F.struct("point", "id", "label", "vector", "windows")).alias("anchors"))
     # Each anchor block with each tree: two numbered lists of blocks, dealt by the number of the anchor block.
     both = trees.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packs, "part")
+    both = both.repartition(min(TASKS, blocks * trees.count()), "block", "part")
 
     def rows(batches):
         for batch in batches:
