@@ -152,8 +152,9 @@ def test_publish(spark, folder, monkeypatch):
     assert json.loads(row["value"])["time_stamp"] == 1715089953
 
 
-def test_the_stream_job_from_topic_to_tables(spark, tmp_path, folder, monkeypatch):
-    """Landing, five queries, and the end of all of them when the topic fails."""
+@pytest.mark.parametrize("kept", [False, True])
+def test_the_stream_job_from_topic_to_tables(spark, tmp_path, folder, monkeypatch, kept):
+    """Landing, five queries, and the end of all of them when the topic fails; plain, and with late ticks and boards kept."""
     from tickbars.session import streaming_session
 
     count = 60
@@ -165,7 +166,7 @@ def test_the_stream_job_from_topic_to_tables(spark, tmp_path, folder, monkeypatc
 
     def job():
         try:
-            jobs.tick_stream(spark, "host:9092", "crypto", out, interval="1 second")
+            jobs.tick_stream(spark, "host:9092", "crypto", out, interval="1 second", keep_late=kept, kept_boards=kept)
         except Exception as error:
             failures.append(str(error))
 

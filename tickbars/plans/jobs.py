@@ -22,7 +22,7 @@ from tickbars.session import streaming_session, use_utc
 from tickbars.sinks.keyed import KeyedTable
 from tickbars.sources import bars as bar_source
 from tickbars.sources.ticks import read_topic_stream
-from tickbars.streaming import landing, queries
+from tickbars.streaming import landing, lateness, queries
 from tickbars.streaming.queries import Table, open_table
 
 
@@ -143,14 +143,22 @@ def tick_stream(
     store: str = "files",
     source_options: dict[str, str] | None = None,
     interval: str = POLL_INTERVAL,
+    keep_late: bool = False,
+    kept_boards: bool = False,
 ) -> None:
-    """Land the topic once, run the five queries on the landed ticks, and end when any of them does."""
+    """Land the topic once, run the five queries on the landed ticks, and end when any of them does.
+
+    With ``keep_late`` ticks land with high-water marks: the rolling query leaves out the windows a tick was too late
+    for, and ``lateness.late_ticks`` reads such ticks back. ``kept_boards`` keeps boards up to date without stream state.
+    """
     session = streaming_session(spark, state_partitions=state_partitions)
     landed = f"{root.rstrip('/')}/ticks"
     messages = read_topic_stream(session, servers, topic, source_options)
     checkpoint = f"{root.rstrip('/')}/ticks_checkpoint"
-    started = [landing.land_ticks(messages, landed, checkpoint, processingTime=interval)]
-    results = queries.start_all(landing.read_landed_stream(session, landed), root, store=store)
+    land = lateness.land_ticks_marked if keep_late else landing.land_ticks
+    read = lateness.read_marked_stream if keep_late else landing.read_landed_stream
+    started = [land(messages, landed, checkpoint, processingTime=interval)]
+    results = queries.start_all(read(session, landed), root, store=store, on_time=keep_late, kept_boards=kept_boards)
     started += [query for _, query in results.values()]
     queries.await_any(session, started)
 
@@ -184,6 +192,8 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--topic", default=TOPIC)
     stream.add_argument("--state-partitions", type=int)
     stream.add_argument("--interval", default=POLL_INTERVAL, help="how often the topic is landed")
+    stream.add_argument("--keep-late", action="store_true", help="set late ticks aside instead of losing them")
+    stream.add_argument("--kept-boards", action="store_true", help="keep boards up to date without stream state")
     stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option of the topic reader")
     compaction = commands.add_parser("compact")
     compaction.add_argument("--table", required=True, choices=sorted(schemas.RESULT_TABLES))
@@ -203,6 +213,8 @@ def main(argv: list[str] | None = None) -> None:
             state_partitions=args.state_partitions,
             store=args.store,
             interval=args.interval,
+            keep_late=args.keep_late,
+            kept_boards=args.kept_boards,
             source_options=dict(option.split("=", 1) for option in args.option),
         )
     elif args.command == "land":

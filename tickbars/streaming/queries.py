@@ -14,6 +14,8 @@ from tickbars.operators.rolling import rolling_stats, rolling_stats_from_panes
 from tickbars.schemas import SLIDE_DURATION, WATERMARK, WINDOW_DURATION, ResultTable
 from tickbars.sinks.external import CassandraTable
 from tickbars.sinks.keyed import KeyedTable
+from tickbars.streaming.incremental_boards import RULES, start_board
+from tickbars.streaming.lateness import rolling_on_time_stream
 
 Table = KeyedTable | CassandraTable
 
@@ -65,10 +67,12 @@ def upsert_stream(df: DataFrame, table: Table, output_mode: str, **trigger) -> S
 
 
 def start_query(
-    name: str, ticks: DataFrame, root: str, *, store: str = "files", **trigger
+    name: str, ticks: DataFrame, root: str, *, store: str = "files", on_time: bool = False, **trigger
 ) -> tuple[Table, StreamingQuery]:
     """Start one of ``QUERIES`` or ``CLOSED_WINDOWS`` on a tick stream, with its progress and (``store="files"``) its table under ``root``."""
     compute, contract, mode = (QUERIES | CLOSED_WINDOWS)[name]
+    if on_time and name == "rolling_stats":
+        compute = rolling_on_time_stream
     result = compute(ticks)
     table = open_table(result, contract, root, store)
     return table, upsert_stream(result, table, mode, **trigger)
@@ -83,9 +87,24 @@ def open_table(result: DataFrame, contract: ResultTable, root: str, store: str)
     raise ValueError(f"store must be 'files' or 'cassandra', not {store!r}")
 
 
-def start_all(ticks: DataFrame, root: str, **options) -> dict[str, tuple[Table, StreamingQuery]]:
-    """Start all five on one landed tick stream; they share nothing else and restart on their own."""
-    return {name: start_query(name, ticks, root, **options) for name in QUERIES}
+def start_all(
+    ticks: DataFrame, root: str, *, kept_boards: bool = False, store: str = "files", on_time: bool = False, **trigger
+) -> dict[str, tuple[Table, StreamingQuery]]:
+    """Start all five on one landed tick stream; they share nothing else and restart on their own.
+
+    ``kept_boards`` keeps the boards up to date from stored partials instead of complete mode (file tables only);
+    ``on_time`` says that the ticks carry the marks of ``lateness``, by which windows closed for a tick are left out.
+    """
+    if kept_boards and store != "files":
+        raise ValueError("boards are kept up to date in file tables only")
+    started = {}
+    for name in QUERIES:
+        if kept_boards and name in RULES:
+            kept, query = start_board(name, ticks, root, **trigger)
+            started[name] = kept.boards, query
+        else:
+            started[name] = start_query(name, ticks, root, store=store, on_time=on_time, **trigger)
+    return started
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
