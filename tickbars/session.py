@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -23,10 +24,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     Only a local master may fall back to the machine's own temporary folder: on a cluster executors could not see it.
+    The folder goes when the program ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tickbars/{label}-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/tickbars/{label}-{uuid.uuid4().hex}"
+        atexit.register(_removed, spark, folder)
+        return folder
     if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix=f"tickbars-{label}-")
@@ -34,6 +38,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return folder
 
 
+def _removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store; the store may be gone by then."""
+    with contextlib.suppress(Exception):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def streaming_session(
     spark: SparkSession, *, state_partitions: int | None = None, rocksdb: bool | None = None
 ) -> SparkSession:
