@@ -46,6 +46,7 @@ PRIOR = 3000.0
 #: Stand for the begin and the end of a text; no word hashes are assumed to equal them.
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543211)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_BIT, _SEVEN = np.array([128, 64, 32, 16, 8, 4, 2, 1], np.uint8), np.uint64(7)
 SLICE = 2 << 20
 #: Tokens that a task counts before it sends them, and sequences that it enters at once.
 CHUNK = 1 << 22
@@ -67,30 +68,34 @@ def pair_hashes(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mixed(before * _MULTIPLIER + token)
 
 
-def _counted(texts: DataFrame, pairs: bool) -> DataFrame:
-    """Rows (hash, n) of all words, or pairs, of a frame (text)."""
+def _counted(texts: DataFrame) -> DataFrame:
+    """Rows (pair, hash, n) of all words and all pairs of a frame (text), from one reading of it."""
 
-    def sent(held):
+    def sent(held, pair):
         found, n = np.unique(np.concatenate(held), return_counts=True)
         for at in range(0, len(found), 1 << 16):
             part = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(found[part].view(np.int64)), pa.array(n[part])], ["hash", "n"])
+            columns = [pa.repeat(pair, len(found[part])), pa.array(found[part].view(np.int64)), pa.array(n[part])]
+            yield pa.RecordBatch.from_arrays(columns, ["pair", "hash", "n"])
 
     def counted(batches):
-        held, size = [], 0
+        words, pairs, size = [], [], 0
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 token, before, _ = tokens(words_of(part.column("text"), lower=True))
-                held.append(pair_hashes(before, token) if pairs else token)
+                words.append(token)
+                pairs.append(pair_hashes(before, token))
                 size += len(token)
                 if size >= CHUNK:
-                    yield from sent(held)
-                    held, size = [], 0
+                    yield from sent(words, False)
+                    yield from sent(pairs, True)
+                    words, pairs, size = [], [], 0
         if size:
-            yield from sent(held)
+            yield from sent(words, False)
+            yield from sent(pairs, True)
 
-    dealt = texts.mapInArrow(counted, "hash long, n long").withColumn("high", F.shiftrightunsigned("hash", 52))
-    return dealt.repartition("high").groupBy("high", "hash").agg(F.sum("n").alias("n")).drop("high")
+    dealt = texts.mapInArrow(counted, "pair boolean, hash long, n long").withColumn("high", F.shiftrightunsigned("hash", 52))
+    return dealt.repartition("high").groupBy("high", "pair", "hash").agg(F.sum("n").alias("n")).drop("high")
 
 
 def levels(counts: np.ndarray, least: float) -> np.ndarray:
@@ -107,10 +112,12 @@ def segment_of(hashes: np.ndarray, size: int) -> np.ndarray:
     return (hashes >> np.uint64(32)) * np.uint64(size // _SEGMENT) >> np.uint64(32)
 
 
-def places(hashes: np.ndarray, level: np.ndarray | int, probe: int) -> np.ndarray:
-    """One probe's bit in the segment for entries (hash, level), by double hashing."""
-    a = mixed(hashes + np.uint64(0x632BE59BD9B4E019) * np.asarray(level, np.uint64))
-    return (a + np.uint64(probe) * (a >> np.uint64(32) | np.uint64(1))) & np.uint64(_SEGMENT - 1)
+def places(hashes: np.ndarray, level: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes of entries (hash, level) begin and how far apart they are, by double hashing: probe i looks at bit
+    (first + i * step) of the segment, modulo its size."""
+    first = mixed(hashes + np.uint64(0x632BE59BD9B4E019) * np.asarray(level, np.uint64))
+    low = np.uint64(_SEGMENT - 1)
+    return first & low, (first >> np.uint64(32) | np.uint64(1)) & low
 
 
 @dataclass
@@ -127,13 +134,18 @@ class Model:
     def level(self, hashes: np.ndarray) -> np.ndarray:
         """The highest level up to which every level is in the filter."""
         out = np.zeros(len(hashes), np.int64)
-        left = np.arange(len(hashes))
+        low, eighth = np.uint64(_SEGMENT - 1), np.uint64(3)
+        left, begin = np.arange(len(hashes)), segment_of(hashes, self.size) * np.uint64(_SEGMENT // 8)
         level = 1
         while len(left):
+            at, step = places(hashes, level)
             for probe in range(PROBES):
-                some = hashes[left]
-                at = (segment_of(some, self.size) * np.uint64(_SEGMENT) + places(some, level, probe)).astype(np.int64)
-                left = left[(self.bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)]
+                there = (self.bits[begin + (at >> eighth)] & _BIT[at & _SEVEN]) != 0
+                # Most probes of one level agree, so rows are only dropped where some have failed.
+                if not there.all():
+                    left, hashes, begin, at, step = left[there], hashes[there], begin[there], at[there], step[there]
+                if probe + 1 < PROBES:
+                    at = (at + step) & low
             out[left] = level
             level += 1
         return out
@@ -174,8 +186,10 @@ def _filter_bits(entries: DataFrame, least: float, size: int) -> np.ndarray:
             owner = np.repeat(hashes[low:high], many)
             level = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + 1
             flags = np.zeros(_SEGMENT, bool)
-            for probe in range(PROBES):
-                flags[places(owner, level, probe)] = True
+            place, step = places(owner, level)
+            for _ in range(PROBES):
+                flags[place] = True
+                place = (place + step) & np.uint64(_SEGMENT - 1)
             at = np.flatnonzero(flags)
             few = 2 * len(at) < _SEGMENT // 8
             bits = at.astype("<u2").tobytes() if few else np.packbits(flags).tobytes()
@@ -223,14 +237,14 @@ def fit(corpus: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
     """The model of all texts of the corpus, and exact counts (hash, n, pair): all words', and those of the pairs whose
     count cannot be read from the filter."""
     texts = corpus.select(F.col(text).alias("text"))
-    counts = written(_counted(texts, pairs=False), "words")
+    both = written(_counted(texts), "counts", "pair")
+    counts, pairs = both.where("not pair").select("hash", "n"), both.where("pair").select("hash", "n")
     total = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     n, types = total.tokens or 0, total.types
     often = max(1, -(-n // FREQUENT))
     frequent = counts.where(F.col("n") >= often).toPandas()  # FREQUENT rows at most
     hashes = frequent["hash"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    pairs = written(_counted(texts, pairs=True), "pairs")
     stored = pairs.unionByName(counts.where(F.col("n") < often))
     octave = F.floor(2 * F.log2("n") + 1e-9).alias("octave")
     least, entries = least_of({r.octave: r.n for r in stored.groupBy(octave).agg(F.count(F.lit(1)).alias("n")).collect()})

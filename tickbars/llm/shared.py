@@ -13,10 +13,11 @@ from tickbars.session import work_dir
 HOT_KEYS = 100_000
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read from there: nothing upstream runs again, lost executors or not."""
+def written(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """The rows written to the shared folder and read from there: nothing upstream runs again, lost executors or not.
+    ``by`` are columns of few values, each of which gets a folder of its own."""
     path = f"{work_dir(df.sparkSession, label)}/rows"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
