@@ -13,8 +13,9 @@ to a hub rule a link out (distance is a metric: members whose distances to a hub
 block by block in large ones. Nothing is capped. Every candidate is confirmed on the full sets of both texts:
 100 * common >= 80 * union.
 
-Null and empty texts have empty sets, link with nothing and stay. Rows that share an id are one document. Rows without an
-id are not compared; their component is null and they stay. Ties cannot matter: a component is named by its smallest id.
+Null and empty texts have empty sets, link with nothing and stay. Rows that share an id are one document: where their
+texts have different sets, each is compared by itself, and what is near to any of them is in the document's component.
+Rows without an id are not compared; their component is null and they stay. Ties cannot matter: a component is named by its smallest id.
 """
 
 from __future__ import annotations
@@ -300,21 +301,66 @@ def mark_near_copies(
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     sketches = written(_sketched(texts, k), "sketches")
     in_sets = sketches.where("id is not null and n_shingles > 0")
+    twofold = written(
+        in_sets.groupBy("id").agg(F.min(F.struct("a", "b")).alias("low"), F.max(F.struct("a", "b")).alias("high"))
+        .where("low <> high").select("id"),
+        "twofold",
+    )
+    if twofold.isEmpty():
+        marked = _components_of_sets(texts.where("id is not null"), in_sets, k, similarity)
+    else:
+        marked = _components_of_twofold(texts.where("id is not null"), in_sets, twofold, k, similarity)
+    alone = sketches.where("id is null or n_shingles = 0").withColumn("component_id", F.col("id"))
+    columns = ["id", "n_shingles", "component_id"]
+    rows = marked.select(*columns).unionByName(alone.select(*columns))
+    return rows.select(
+        F.col("id").alias(id), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def _components_of_sets(
+    texts: DataFrame, in_sets: DataFrame, k: int, similarity: int, same: DataFrame | None = None
+) -> DataFrame:
+    """The sketches with their component_id, the smallest id. ``same`` are pairs (u, v) of ids that belong together."""
     groups = written(
         in_sets.groupBy("a", "b").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "groups"
     )
-    roots = linked(texts.where("id is not null"), in_sets, groups, k, similarity)
+    roots = linked(texts, in_sets, groups, k, similarity)
+    if same is not None:
+        # Of an id, its class's representative is what has links.
+        rep = written(in_sets.join(groups, ["a", "b"]).select("id", "rep"), "reps")
+        known = same.join(rep.toDF("u", "x"), "u").join(rep.toDF("v", "y"), "v")
+        roots = components(_joined_edges(roots, known.select(F.col("x").alias("u"), F.col("y").alias("v"))))
     named = groups.join(roots, F.col("rep") == F.col("node"), "left").select(
         "a", "b", "n", F.coalesce("root", "rep").alias("component_id")
     )
-    total = sketches.count()
-    inside = joined_to_groups(in_sets.select("id", "n_shingles", "a", "b"), written(named, "named"), ["a", "b"], "n", total)
-    alone = sketches.where("id is null or n_shingles = 0").withColumn("component_id", F.col("id"))
-    columns = ["id", "n_shingles", "component_id"]
-    rows = inside.select(*columns).unionByName(alone.select(*columns))
-    return rows.select(
-        F.col("id").alias(id), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    total = in_sets.count()
+    return joined_to_groups(in_sets.select("id", "n_shingles", "a", "b"), written(named, "named"), ["a", "b"], "n", total)
+
+
+def _components_of_twofold(
+    texts: DataFrame, in_sets: DataFrame, twofold: DataFrame, k: int, similarity: int
+) -> DataFrame:
+    """The same where some ids have several sets: each of their rows goes under a number of its own beyond all ids."""
+    beyond = in_sets.agg(F.max("id")).first()[0] + 1
+    own = written(
+        texts.join(twofold, "id", "left_semi").withColumn("node", F.lit(beyond) + F.monotonically_increasing_id()), "twofold"
     )
+    if own.agg(F.min("node")).first()[0] < beyond:
+        raise OverflowError("no numbers are left beyond the ids")
+    numbered = own.select(F.col("node").alias("id"), "text")
+    single = in_sets.join(twofold, "id", "left_anti")
+    sketches = written(single.unionByName(_sketched(numbered, k).where("n_shingles > 0")), "sketches")
+    used = own.join(sketches.select(F.col("id").alias("node")), "node", "left_semi").select("id", "node")
+    same = used.join(used.groupBy("id").agg(F.min("node").alias("v")), "id").select(F.col("node").alias("u"), "v")
+    texts = texts.join(twofold, "id", "left_anti").unionByName(numbered)
+    marked = written(_components_of_sets(texts, sketches, k, similarity, same), "marked")
+    # Back to the ids; a component that has such numbers is named by the smallest id of all its members.
+    names = used.withColumnRenamed("id", "real")
+    marked = marked.join(names, F.col("id") == F.col("node"), "left").withColumn("id", F.coalesce("real", "id"))
+    touched = marked.where(F.col("real").isNotNull()).select("component_id").distinct()
+    renamed = marked.join(touched, "component_id", "left_semi").groupBy("component_id").agg(F.min("id").alias("smallest"))
+    return marked.join(renamed, "component_id", "left").withColumn("component_id", F.coalesce("smallest", "component_id"))
 
 
 def drop_near_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
