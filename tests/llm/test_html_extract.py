@@ -1,0 +1,122 @@
+"""Article extraction: runs and blocks, hard pages in linear time, and the Spark query against known articles."""
+
+import time
+
+import numpy as np
+import pytest
+from llm_fixtures import rows
+
+from tickbars.llm import html_extract
+from tickbars.llm.html_extract import main_text
+
+
+def test_what_goes_with_an_inline_element_leaves_its_block():
+    page = (
+        "<article><p>text <span class='ad'>BUY</span> more <span hidden>HID</span><select><option>o1<option>o2</select>"
+        "<button>Click</button> end</p><p>a<b class=sponsored>x</b>b</p></article>"
+    )
+    assert main_text(page) == "text more end\nab"
+
+
+def test_comments_inside_an_article_go():
+    comments = "<div class='comments'><p>reader says</p><ul class=replies><li>me too</ul></div>"
+    assert main_text(f"<article><p>text</p>{comments}<p>after</p></article>") == "text\nafter"
+    assert main_text("<article><p>text</p><ol class='x commentlist'><li>no</ol></article>") == "text"
+    # A name that a heading of the article may have as well is left to the tree.
+    assert main_text("<article><p>text</p><section class=discussion><p>we found</p></section></article>") == "text\nwe found"
+
+
+def test_formulas_stay():
+    assert main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>") == "so x=1 holds"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article>1 < 2 & 3 > 2 <", "1 < 2 & 3 > 2 <"),
+        ("<article><p title=\"a > b\" data-x='>'>c</p>", "c"),
+        ("<article><p title=\"unclosed>d</p>", "d"),
+        ("<article><p>a<!-- > -- --><b>b</b><!-- open", "ab"),
+        ("<!DOCTYPE html><?x y?><article>z</article><! never", "z"),
+        ("<article><script>if (a<b) '</p>'</SCRIPT >t<style>x", "t"),
+        ("<article>a<br>b<br/>c &lt;p&gt; &eacute;&nbsp;&#x41;", "a b c <p> é A"),
+        ("<article><ul><li>a<li>b<ul><li>c</ul><li>d</ul><table><tr><td>e<td>f<tr><td>g</table>", "a\nb\nc\nd\ne\nf\ng"),
+        ("</p></article></div>x", "x"),
+        ("<p", "<p"),
+    ],
+)
+def test_odd_markup(page, text):
+    assert main_text(page) == text
+
+
+HARD_PAGES = {
+    "tags without an end": "<p " * 350_000,
+    "one end far away": "<p " * 350_000 + ">",
+    "an open quote": "<a x=\"" + "<p " * 350_000 + ">",
+    "a quote over the last end": "<a " * 350_000 + "x=\" > \"",
+    "open comments": "<!-- " * 200_000,
+    "brackets": "<" * 1_000_000,
+    "nested elements": "<div>" * 20_000 + "deep",
+    "nested named elements": "<article>" + "<div class='menu x'>t" * 20_000,
+    "nested inline elements": "<article>" + "<b>" * 20_000 + "<li>x</b>" * 5_000,
+    "closing tags of nothing": "<div>" * 10_000 + "</p></section>" * 50_000,
+    "raw elements without an end": "<article>" + "<script>a" * 100_000,
+    "entities": "<article>" + "&amp;" * 200_000,
+    "spaces in a tag": "<p " + " " * 1_000_000 + "a = ",
+}
+
+
+@pytest.mark.parametrize("name", HARD_PAGES)
+def test_hard_pages_take_seconds(name):
+    began = time.process_time()
+    text = main_text(HARD_PAGES[name])
+    html_extract._features(HARD_PAGES[name])
+    assert time.process_time() - began < 10
+    if name == "nested elements":
+        assert text == "deep"
+
+
+def site(host, n, random):
+    """Pages of one host and their articles: menus, adverts that differ, comments below and inside the article."""
+    words = [f"{host}{i}" for i in range(300)]
+    prose = lambda k: " ".join(random.choice(words, k))
+    for i in range(n):
+        title, *said = prose(4), prose(12), prose(30)
+        menu = "".join(f"<li><a href='/{j}'>Menu {j}</a>" for j in range(5))
+        inner = f"<p>{said[0]} <span class=ad>{prose(3)}</span></p><blockquote><p>{said[1]}</p></blockquote>"
+        page = (
+            f"<html><head><title>{title}</title></head><body><ul class=menu>{menu}</ul><div class='x ad'>{prose(9)}</div>"
+            f"<div class=crumbs>Home of {host}</div><article><h1>{title}</h1>{inner}"
+            f"<div class='share x'>Share this page</div><div class=comments><p>{prose(8)}</p></div></article>"
+            f"<footer>{prose(5)}</footer></body></html>"
+        )
+        yield f"http://{host}.example.com/{i}", page, f"{title}\n{said[0]}\n{said[1]}"
+
+
+def test_the_query_gets_known_articles(spark, monkeypatch):
+    """Two hosts with pages enough for a tree, of which one is broadcast as very large; hard rows beside them."""
+    random = np.random.default_rng(1)
+    known = [row for name, n in (("a", 30), ("b", 12)) for row in site(name, n, random)]
+    known += [("http://c.example.com", None, ""), (None, "", ""), ("no url", "<p>own", "own"), (known[0][0], known[0][1], known[0][2])]
+    monkeypatch.setattr("tickbars.llm.shared.HOT_KEYS", 3)
+    pages = spark.createDataFrame([(i, url, page) for i, (url, page, _) in enumerate(known)], "page_id long, url string, html string")
+    found = html_extract.extract(pages.repartition(4))
+    assert rows(found.select("page_id", "main_text")) == sorted(((i, text) for i, (_, _, text) in enumerate(known)), key=repr)
+
+
+def test_the_tree_finds_what_pages_share(spark):
+    """Without names: blocks that are the same on every page go, those that differ stay, however deep."""
+    deep = "<div>" * 30
+    pages = [(f"http://h.com/{i}", f"<body><div class=top><p>same line</p></div>{deep}<p>own {i}</p></body>") for i in range(20)]
+    frame = spark.createDataFrame(pages, "url string, html string")
+    assert {r.main_text for r in html_extract.extract(frame).collect()} == {f"own {i}" for i in range(20)}
+    low = html_extract.unimportant_branches(frame).first().paths
+    assert {html_extract.path_of(">body>div.top"), html_extract.path_of(">body>div.top>p")} <= set(low)
+    assert html_extract.path_of(">body" + ">div" * 30 + ">p") not in low
+
+
+def test_empty_table_and_clashing_columns(spark):
+    nothing = spark.createDataFrame([], "url string, html string")
+    assert html_extract.extract(nothing).count() == 0
+    crowded = spark.createDataFrame([("http://h", "<p>x", 1, "y")], "url string, html string, path int, lineage string")
+    assert rows(html_extract.extract(crowded)) == [("http://h", "<p>x", 1, "y", "x")]
