@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tickbars.operators import boards, live, ranking, rollups
 from tickbars.plans import jobs
+from tickbars.schemas import ResultTable
 from tickbars.sinks import partitioned
+from tickbars.sinks.keyed import KeyedTable
 from tickbars.sources import bars as bar_source
 from tickbars.streaming.incremental_boards import RULES, IncrementalBoard
 
@@ -126,6 +128,17 @@ def test_newest_per_key_equals_latest_per_key(spark, most):
     assert live.newest_per_key(df.limit(0), ["k"], "t", most).count() == 0
 
 
+def test_a_keyed_table_is_read_without_a_sort(spark, tmp_path):
+    contract = ResultTable("t", ("k", "p", "v"), ("k", "p"), "s")
+    frame = spark.range(0, 3000, 1, 4).select((F.col("id") % 700).alias("k"), (F.col("id") % 3).alias("p"), F.hex("id").alias("v"))
+    first = frame.dropDuplicates(["k", "p"])
+    table = KeyedTable.like(first, contract, str(tmp_path))
+    table.write_batch(first, 0)
+    table.write_batch(first.where("k < 100").withColumn("v", F.lit("new")), 1)
+    text = plan(table.latest(spark))
+    assert "Sort" not in text and table.latest(spark).where("v = 'new'").count() == first.where("k < 100").count()
+
+
 def test_newest_per_key_sorts_no_raw_rows(spark, tmp_path):
     """Few keys are broadcast; many are dealt by key and time, so that one key with most of the rows is spread."""
     path = str(tmp_path / "rows")
@@ -133,10 +146,12 @@ def test_newest_per_key_sorts_no_raw_rows(spark, tmp_path):
     spark.range(0, 30_000, 1, 6).select(hot.alias("k"), F.col("id").alias("t"), F.hex("id").alias("text")).write.parquet(path)
     df = spark.read.parquet(path)
     text = plan(live.newest_per_key(df, ["k"], "t"))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    # What is sorted for the ties has passed the join.
-    ties = text[text.rindex("SortAggregate") :]
-    assert "BroadcastHashJoin" in ties and "Sort [" not in ties.split("BroadcastHashJoin")[1]
+    # Nothing is tied: rows pass one join by broadcast, and nothing is sorted or shuffled.
+    assert "BroadcastHashJoin" in text and "Sort" not in text and "Exchange hashpartitioning" not in text
+    repeated = plan(live.newest_per_key(df.unionByName(df.where("k = 2")), ["k"], "t"))
+    # Of tied keys, what is sorted has passed both joins.
+    ties = repeated[repeated.rindex("SortAggregate") :]
+    assert ties.count("BroadcastHashJoin") >= 2 and "Sort [" not in ties.split("BroadcastHashJoin", 1)[1]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         dealt = plan(live.newest_per_key(df, ["k"], "t", 0))

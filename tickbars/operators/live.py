@@ -86,17 +86,28 @@ MOST_KEYS = 1 << 20
 def newest_per_key(df: DataFrame, keys: list[str], order: str, most_keys: int = MOST_KEYS) -> DataFrame:
     """What ``latest_per_key`` gives for one ``order`` column of a fixed width, without sorting the rows; batch only.
 
-    First the newest value per key, which fits a hash aggregation, then the rows that have it, by a semi-join, and last
-    the ties among these few. The newest values are stored and counted: up to ``most_keys`` of them are broadcast and the
-    rows stay where they are read. Beyond, both sides are dealt by key and value, so a key with a third of all rows is
-    spread by its values. NULL is a key like any other, and older than any value.
+    First the newest value per key, which fits a hash aggregation; then the rows that have it, by a semi-join; and for
+    the keys of which several rows have it, the tie-break of ``latest_per_key``, which is the only step that sorts. The
+    newest values and the tied keys are stored and counted: up to ``most_keys`` of them are broadcast and the rows stay
+    where they are read. Beyond, both sides are dealt by key and value, so a key with a third of all rows is spread by
+    its values. NULL is a key like any other, and older than any value.
     """
-    newest = df.groupBy(*keys).agg(F.max(order).alias(order))
-    path = f"{work_dir(df.sparkSession, 'newest')}/rows"
-    newest.write.parquet(path)
-    newest = df.sparkSession.read.schema(newest.schema).parquet(path)
-    few = newest.count() <= most_keys
-    there = newest.select(*[F.col(name).alias(f"newest_{i}") for i, name in enumerate([*keys, order])])
-    same = [df[name].eqNullSafe(there[f"newest_{i}"]) for i, name in enumerate([*keys, order])]
-    tied = df.join(F.broadcast(there) if few else there, same, "left_semi")
-    return latest_per_key(tied, keys, [order])
+
+    def stored(found: DataFrame, label: str) -> tuple[DataFrame, int]:
+        path = f"{work_dir(df.sparkSession, label)}/rows"
+        found.write.parquet(path)
+        found = df.sparkSession.read.schema(found.schema).parquet(path)
+        n = found.count()
+        renamed = found.toDF(*[f"{label}_{i}" for i in range(len(found.columns))])
+        return (F.broadcast(renamed) if n <= most_keys else renamed), n
+
+    def same(names: list[str], there: DataFrame, label: str) -> list[Column]:
+        return [df[name].eqNullSafe(there[f"{label}_{i}"]) for i, name in enumerate(names)]
+
+    newest, _ = stored(df.groupBy(*keys).agg(F.max(order)), "newest")
+    rows = df.join(newest, same([*keys, order], newest, "newest"), "left_semi")
+    tied, ties = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "tied")
+    if not ties:
+        return rows
+    alone = rows.join(tied, same(keys, tied, "tied"), "left_anti")
+    return alone.unionByName(latest_per_key(rows.join(tied, same(keys, tied, "tied"), "left_semi"), keys, [order]))

@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tickbars.operators.live import newest_per_key
+from tickbars.operators.live import latest_per_key, newest_per_key
 from tickbars.schemas import ResultTable
 
 BATCH = "batch_id"
@@ -103,7 +103,9 @@ class KeyedTable:
         compacted = self._last_compacted(spark)
         if upto is not None and upto < compacted:
             raise ValueError(f"batch {compacted} of {self.path} is compacted; the state as of batch {upto} is gone")
-        recent = newest_per_key(kept(self.log(spark, compacted, upto)), keys, BATCH)
+        recent = kept(self.log(spark, compacted, upto))
+        # A lookup has few rows; over all of them nothing but ties is sorted.
+        recent = newest_per_key(recent, keys, BATCH) if key_filter is None else latest_per_key(recent, keys, [BATCH])
         if compacted < 0:
             return recent.drop(BATCH)
         older, newer = kept(self._read(spark, "compacted", [compacted])), recent.select(*keys)
