@@ -162,6 +162,20 @@ def test_windows_do_not_depend_on_the_querys_batches(spark, session, tmp_path, t
     assert sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress if p.stateOperators) == 0
 
 
+def test_a_stream_may_start_before_the_first_batch_lands(spark, session, tmp_path):
+    landed = marked(spark, session, tmp_path, [])
+    lateness.make_folder(session, f"{landed}/_marks")
+    ticks = lateness.read_marked_stream(session, landed)
+    writer = ticks.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        marked(spark, session, tmp_path, BATCHES[:2])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(lateness.read_marked(spark, landed))
+
+
 def test_a_landed_batch_is_left_alone_when_repeated(spark, session, tmp_path):
     landed = marked(spark, session, tmp_path, BATCHES[:2])
     files = sorted(os.path.join(d, f) for d, _, names in os.walk(landed) for f in names if f.endswith(".parquet"))

@@ -9,7 +9,8 @@ The new board is taken from the board before and the changed coins. That is enou
 has lost its place by its own value: an unchanged coin outside was behind all of them and still is. Otherwise, as when a
 loser recovers, the board is looked up among all stored coins.
 
-A batch repeated after a failure starts from the state before it and replaces what it wrote.
+A batch repeated after a failure starts from the state before it and replaces what it wrote. Every ``compact_every`` batches
+the stored partials are compacted, so that a batch reads one row per coin and what the last batches changed.
 """
 
 from __future__ import annotations
@@ -74,15 +75,16 @@ class IncrementalBoard:
     boards: KeyedTable
     n: int = BOARD_SIZE
     pick: str = "max"
+    compact_every: int = 100
 
     @classmethod
-    def like(cls, metrics: DataFrame, name: str, root: str, n: int = BOARD_SIZE, pick: str = "max") -> IncrementalBoard:
+    def like(cls, metrics: DataFrame, name: str, root: str, n: int = BOARD_SIZE, pick: str = "max", **options) -> IncrementalBoard:
         """Board ``name`` of ``RULES`` under ``root`` for ticks shaped like ``metrics``."""
         rule, folder = RULES[name], f"{root.rstrip('/')}/{RULES[name].contract.name}"
         partials = rule.partials(metrics, pick)
         stored = ResultTable(f"{rule.contract.name}_coins", tuple(partials.columns), (NAME,), rule.contract.keyspace)
         coins = KeyedTable.like(partials, stored, f"{folder}_coins")
-        return cls(rule, coins, KeyedTable.like(partials, rule.contract, folder), n, pick)
+        return cls(rule, coins, KeyedTable.like(partials, rule.contract, folder), n, pick, **options)
 
     def write_batch(self, metrics: DataFrame, batch_id: int) -> None:
         spark = metrics.sparkSession
@@ -103,6 +105,8 @@ class IncrementalBoard:
             same = [row for row in before if row[NAME] not in now]
             candidates = merged.unionByName(spark.createDataFrame(same, self.boards.schema)) if same else merged
         self.boards.write_batch(self.rule.top(candidates, self.n), batch_id)
+        if batch_id and batch_id % self.compact_every == 0:
+            self.coins.compact(spark)
 
     def _stored(self, changed: DataFrame, upto: int) -> DataFrame:
         """The partials that the changed coins had before."""

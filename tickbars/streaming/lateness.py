@@ -26,7 +26,10 @@ from tickbars.sources.ticks import ANY_AGE
 from tickbars.streaming.landing import LANDED, landed_rows
 
 BATCH, HIGH_WATER = "batch_id", "high_water"
-MARKED = T.StructType([*LANDED.fields, T.StructField(HIGH_WATER, T.TimestampType()), T.StructField(BATCH, T.LongType())])
+#: Folder columns last and in the order of the folders: a stream that starts on an empty folder keeps this order.
+MARKED = T.StructType(
+    [*LANDED.fields[:-1], T.StructField(HIGH_WATER, T.TimestampType()), T.StructField(BATCH, T.LongType()), LANDED["rejected"]]
+)
 LATE, LATE_IN_PART = "late", "late in part"
 
 
@@ -59,9 +62,11 @@ class _Folder:
         return None if mark == "none" else int(mark)
 
     def mark(self, number: int, micros: int | None) -> None:
-        """A mark is the name of an empty file, which a store creates as a whole or not at all."""
-        for status in self.fs.globStatus(self._path(f"_marks/{number}=*")) or []:
-            self.fs.delete(status.getPath(), False)
+        """A mark is the name of an empty file, which a store creates as a whole or not at all. Only the one before, which a
+        repeated batch needs, is kept beside it."""
+        for status in self.fs.globStatus(self._path("_marks/*")) or []:
+            if int(status.getPath().getName().split("=")[0]) not in (number - 1, number - 2):
+                self.fs.delete(status.getPath(), False)
         self.fs.create(self._path(f"_marks/{number}={'none' if micros is None else micros}"), True).close()
 
 
