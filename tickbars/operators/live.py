@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickbars.functions import metrics
@@ -95,9 +95,9 @@ def newest_per_key(df: DataFrame, keys: list[str], order: str, most_keys: int =
 
     def stored(found: DataFrame, label: str) -> tuple[DataFrame, int]:
         path = f"{work_dir(df.sparkSession, label)}/rows"
-        found.write.parquet(path)
-        found = df.sparkSession.read.schema(found.schema).parquet(path)
-        n = found.count()
+        seen = Observation()
+        found.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        found, n = df.sparkSession.read.schema(found.schema).parquet(path), seen.get["n"]
         renamed = found.toDF(*[f"{label}_{i}" for i in range(len(found.columns))])
         return (F.broadcast(renamed) if n <= most_keys else renamed), n
 
