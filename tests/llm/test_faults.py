@@ -146,3 +146,14 @@ def test_a_component_of_ids_with_two_texts_alone(spark):
     docs = [(7, a), (7, b), (8, b + " x"), (8, c), (9, c + " y"), (9, a + " y")]
     found = near_dedup.mark_near_copies(spark.createDataFrame(docs, "doc_id long, text string"))
     assert {(r.doc_id, r.component_id, r.kept) for r in found.collect()} == {(7, 7, True), (8, 7, False), (9, 7, False)}
+
+
+def test_joined_hits_of_a_text_of_hits_alone(spark, monkeypatch):
+    """A long text that is nothing but hits, with gaps and touching windows: the same runs by either way, in seconds."""
+    item, long_ = base(40), " ".join([base(40), "gap"] * 3000)
+    items = spark.createDataFrame([(1, item), (2, base(20, 20)), (3, "w5 w6 w7"), (4, "w7 w8")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, long_), (2, f"x {item} {item} y w5 w6 w7 w8"), (3, "w7 w8 w7 w8"), (4, "none")], "doc_id long, text string")
+    sent = rows(decontaminate.with_hits(docs, items).select("doc_id", "n_words", "spans", "items"))
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+    assert rows(decontaminate.with_hits(docs, items).select("doc_id", "n_words", "spans", "items")) == sent
+    assert len(next(r for r in sent if r[0] == 1)[2]) == 3000 and next(r for r in sent if r[0] == 3)[2] == [(0, 4)]

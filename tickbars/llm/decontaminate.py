@@ -216,6 +216,27 @@ def _text_spans(words: Words, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     return np.sort(np.concatenate((lows, inner))), np.sort(np.concatenate((highs, inner)))
 
 
+def _merged(batches):
+    """Hit windows of each text, in any order, merged to runs: rows (key, spans, items) of rows (key, found, items)."""
+    for batch in batches:
+        key, found, items = batch.columns
+        flat = found.flatten()
+        start, stop = (flat.field(name).to_numpy() for name in ("start", "stop"))
+        owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(found).to_numpy())
+        # Texts one after the other on one line, too far apart to touch.
+        apart = int(stop.max(initial=0)) + 2
+        order = np.lexsort((start, owner))
+        low, high = (start + owner * apart)[order], np.maximum.accumulate((stop + owner * apart)[order])
+        begins = np.ones(len(low), bool)
+        begins[1:] = low[1:] > high[:-1]
+        first = np.flatnonzero(begins)
+        last = np.append(first[1:], len(low))[: len(first)] - 1
+        of = owner[order][first]
+        spans = pa.StructArray.from_arrays([pa.array(low[first] - of * apart), pa.array(high[last] - of * apart)], ["low", "high"])
+        bounds = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([key, pa.ListArray.from_arrays(pa.array(bounds), spans), items], ["__text", "spans", "items"])
+
+
 def _joined_hits(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
     """The same without a broadcast. Hits depend on the text alone, so they are found once per text and joined back."""
     key = "__text"
@@ -256,29 +277,13 @@ def _joined_hits(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
     # Common passages make hot keys here; neither join needs the rows of a key together, so Spark may split them.
     full = candidates.where(F.col("length") == WINDOW).join(kept, "kept", "left_semi")
     found = full.unionByName(candidates.where(F.col("length") < WINDOW)).join(windows, ["length", "window"])
-    hits = found.groupBy("key").agg(
+    # At most one window of each length from every word of the text.
+    hits = found.groupBy(F.col("key").alias(key)).agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("stop"))).alias("found"),
         F.sort_array(F.collect_set("item")).alias("items"),
     )
 
-    def merged(found):
-        begin = F.array_sort(found)
-        step = lambda runs, x: F.when(
-            (F.size(runs) > 0) & (F.element_at(runs, -1)["high"] >= x["start"]),
-            F.concat(
-                F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.element_at(runs, -1)["low"].alias("low"),
-                        F.greatest(F.element_at(runs, -1)["high"], x["stop"]).alias("high"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(runs, F.array(F.struct(x["start"].alias("low"), x["stop"].alias("high")))))
-        empty = F.array().cast("array<struct<low:long,high:long>>")
-        return F.aggregate(begin, empty, step)
-
-    hits = hits.select(F.col("key").alias(key), merged(F.col("found")).alias("spans"), "items")
+    hits = hits.mapInArrow(_merged, f"{key} binary, spans array<struct<low:long,high:long>>, items array<long>")
     none = F.array().cast("array<long>")
     n_words = F.regexp_count(F.lower(F.col(text)), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     return (
