@@ -23,7 +23,7 @@ from tickbars.session import streaming_session, use_utc, work_dir
 from tickbars.sinks import partitioned
 from tickbars.sinks.keyed import KeyedTable
 from tickbars.sinks.messages import publish_to_files
-from tickbars.sources.bars import land_checked_bars, read_bars, read_checked_bars, read_rejected_lines
+from tickbars.sources.bars import land_checked_bars, read_bars, read_checked_bars, read_landed_bars, read_rejected_lines
 from tickbars.sources.payloads import payload_rejects as rejected_coins
 from tickbars.sources.payloads import payload_ticks, read_payloads
 from tickbars.sources.ticks import read_message_files, read_message_files_stream
@@ -141,11 +141,13 @@ def _rollups_in_runs(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, Keye
     """Years mixed by asset, so that a month's bars come in several runs; run 2 is first landed incomplete."""
     root = work_dir(spark, "runs")
     days, run = tables.daily_bars(spark, sf_dir), F.pmod(F.col("SNo") + F.length("Name"), F.lit(3)) + 1
+    for number in (1, 2, 3):
+        days.where(run == number).write.parquet(f"{root}/landed/{number}")
+    landed = read_landed_bars(spark, f"{root}/landed/2")
+    landed.where(F.col("Volume") > 20).write.parquet(f"{root}/landed/2-incomplete")
     found = None
-    for number, rows in ((1, run == 1), (2, (run == 2) & (F.col("Volume") > 20)), (3, run == 3), (2, run == 2)):
-        landed = f"{root}/landed/{number}"
-        days.where(rows).write.mode("overwrite").parquet(landed)
-        found = jobs.bar_rollups_of_new(spark, landed, root, number, landed=True)
+    for number, folder in ((1, "1"), (2, "2-incomplete"), (3, "3"), (2, "2")):
+        found = jobs.bar_rollups_of_new(spark, f"{root}/landed/{folder}", root, number, landed=True)
     return found
 
 
