@@ -58,3 +58,18 @@ def test_runs_read_the_lines_of_each_run_once(spark, tmp_path, monkeypatch):
     days = daily(spark, folder)
     assert rows(months.last_snapshot(spark).drop("snapshot_id")) == rows(rollups.bars_by_month(days))
     assert rows(years.last_snapshot(spark).drop("snapshot_id")) == rows(rollups.bars_by_year(days))
+
+
+def test_years_of_merged_partials_need_no_shuffle_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "partials")
+    rollups.period_partials(tables.daily_bars(spark, lines(spark, str(tmp_path))), "month", unique_sequence=True).write.parquet(path)
+    months = rollups.merged_partials(spark.read.parquet(path))
+    years = rollups.year_base_from_months(months)
+    assert plan(years).count("Exchange") == 1
+    months.persist()
+    try:
+        months.count()
+        above = plan(rollups.year_base_from_months(months)).split("InMemoryTableScan")[0]
+        assert "Exchange" not in above
+    finally:
+        months.unpersist()

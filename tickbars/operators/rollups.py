@@ -70,8 +70,12 @@ def period_partials(bars: DataFrame, grain: str, *, unique_sequence: bool = Fals
 
 
 def merged_partials(partials: DataFrame) -> DataFrame:
-    """Partials of any number of disjoint parts of the bars, put together to what ``period_base`` gives of all."""
-    return partials.groupBy("name", "period").agg(
+    """Partials of any number of disjoint parts of the bars, put together to what ``period_base`` gives of all.
+
+    They are dealt by asset alone, so that longer periods of the result need no shuffle of their own. An asset has at most
+    one partial per part and period, which the calendar bounds.
+    """
+    return partials.repartition("name").groupBy("name", "period").agg(
         F.max("highest_high").alias("highest_high"),
         F.min("lowest_low").alias("lowest_low"),
         F.min_by("first_open", "first_position").alias("first_open"),
