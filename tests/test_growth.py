@@ -1,10 +1,15 @@
 """What grows with the tables: bytes shuffled by roll-ups in runs, state of streamed totals, files of a batch."""
 
+from types import SimpleNamespace
+
 from compare import plan, rows
 from pyspark.sql import functions as F
 
-from tickbars.operators import rollups
+from tickbars.operators import live, rollups
 from tickbars.plans import registry, tables
+from tickbars.schemas import ResultTable
+from tickbars.session import streaming_session
+from tickbars.streaming import landing, queries
 
 
 def lines(spark, folder, n=600):
@@ -25,6 +30,19 @@ def lines(spark, folder, n=600):
     return folder
 
 
+def events(spark, folder, n=500):
+    i = F.col("id")
+    spark.range(0, n, 1, 2).select(
+        i.alias("event_id"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, int(id * 7 % 600))").alias("ts"),
+        (i % 40).alias("user_id"),
+        F.when(i % 2 == 0, "click").otherwise("view").alias("event_type"),
+        (i * 13 % 97 + 0.25).alias("value"),
+        F.concat(F.lit('{"k": '), i % 100, F.lit("}")).alias("props"),
+    ).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
 def test_daily_bars_shuffle_lines_and_not_the_prices_that_follow(spark, tmp_path):
     folder = lines(spark, str(tmp_path))
     days, position = tables.daily_bars(spark, folder), F.struct("SNo", "Open", "Close")
@@ -73,3 +91,31 @@ def test_years_of_merged_partials_need_no_shuffle_of_their_own(spark, tmp_path):
         assert "Exchange" not in above
     finally:
         months.unpersist()
+
+
+def test_rows_without_a_repeated_key_are_the_newest_as_they_are(spark):
+    df = spark.range(0, 300, 1, 3).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), (F.col("id") % 2).alias("t"), "id")
+    found = live.newest_per_key(df, ["k"], "t")
+    assert "Join" not in plan(found) and "Exchange" not in plan(found) and rows(found) == rows(df)
+    twice = live.newest_per_key(df.unionByName(df.where("id in (0, 7)").withColumn("t", F.lit(9))), ["k"], "t")
+    assert rows(twice.where("t = 9").select("id")) == [(0,), (7,)] and twice.count() == 300
+
+
+def test_a_stream_keeps_no_columns_that_its_table_lacks(spark, tmp_path):
+    folder = events(spark, str(tmp_path))
+    _, root, messages = registry._message_stream(spark, folder, "narrow")
+    totals = queries.totals_stream(landing.accepted_ticks(messages))
+    contract, seen = ResultTable("narrow", ("id", "total_24_volume"), ("id",), "s"), []
+
+    def write(df, _):
+        seen.append(df.columns)
+        df.count()
+
+    table = SimpleNamespace(contract=contract, checkpoint=f"{root}/checkpoint", write_batch=write)
+    queries.await_all([queries.upsert_stream(totals, table, "append", availableNow=True)])
+    assert seen and all(columns == ["id", "total_24_volume"] for columns in seen)
+
+
+def test_rocksdb_rows_are_not_counted(spark):
+    session = streaming_session(spark, rocksdb=True)
+    assert session.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"

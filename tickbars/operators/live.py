@@ -90,23 +90,29 @@ def newest_per_key(df: DataFrame, keys: list[str], order: str, most_keys: int =
     the keys of which several rows have it, the tie-break of ``latest_per_key``, which is the only step that sorts. The
     newest values and the tied keys are stored and counted: up to ``most_keys`` of them are broadcast and the rows stay
     where they are read. Beyond, both sides are dealt by key and value, so a key with a third of all rows is spread by
-    its values. NULL is a key like any other, and older than any value.
+    its values. Where the first step has found no key twice, the rows are the result as they are. NULL is a key like any
+    other, and older than any value.
     """
 
-    def stored(found: DataFrame, label: str) -> tuple[DataFrame, int]:
-        path = f"{work_dir(df.sparkSession, label)}/rows"
-        seen = Observation()
-        found.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    def stored(found: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+        """What was found, without the rows per key in its last column, the number of keys and that of their rows."""
+        path, seen = f"{work_dir(df.sparkSession, label)}/rows", Observation()
+        found = found.toDF(*[f"{label}_{i}" for i in range(len(found.columns))])
+        per_key = found.columns[-1]
+        found = found.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(per_key).alias("rows")).drop(per_key)
+        found.write.parquet(path)
         found, n = df.sparkSession.read.schema(found.schema).parquet(path), seen.get["n"]
-        renamed = found.toDF(*[f"{label}_{i}" for i in range(len(found.columns))])
-        return (F.broadcast(renamed) if n <= most_keys else renamed), n
+        return (F.broadcast(found) if n <= most_keys else found), n, seen.get["rows"] or 0
 
     def same(names: list[str], there: DataFrame, label: str) -> list[Column]:
         return [df[name].eqNullSafe(there[f"{label}_{i}"]) for i, name in enumerate(names)]
 
-    newest, _ = stored(df.groupBy(*keys).agg(F.max(order)), "newest")
+    count = F.count(F.lit(1)).alias("n")
+    newest, n, all_rows = stored(df.groupBy(*keys).agg(F.max(order), count), "newest")
+    if n == all_rows:
+        return df
     rows = df.join(newest, same([*keys, order], newest, "newest"), "left_semi")
-    tied, ties = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "tied")
+    tied, ties, _ = stored(rows.groupBy(*keys).agg(count).where("n > 1"), "tied")
     if not ties:
         return rows
     alone = rows.join(tied, same(keys, tied, "tied"), "left_anti")

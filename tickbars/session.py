@@ -52,7 +52,8 @@ def streaming_session(
 
     A stateful query keeps the shuffle partition count of its first start for its whole life, so it is chosen here: size
     it for the cluster (a few per core), not for the first batch. RocksDB keeps state off the JVM heap and is the choice
-    wherever executors are processes of their own; a local master keeps Spark's default store unless told otherwise.
+    wherever executors are processes of their own; a local master keeps Spark's default store unless told otherwise. Its
+    rows are not counted, as that would look up every key before it is written: ``numRowsTotal`` means nothing there.
     """
     session = use_utc(spark.newSession())
     partitions = state_partitions or spark.sparkContext.defaultParallelism
@@ -62,6 +63,7 @@ def streaming_session(
     if rocksdb:
         session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        session.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     return session
 
 

@@ -60,8 +60,11 @@ CLOSED_WINDOWS = {"rolling_stats_panes": (rolling_panes_stream, schemas.ROLLING_
 
 
 def upsert_stream(df: DataFrame, table: Table, output_mode: str, **trigger) -> StreamingQuery:
-    """Write every micro-batch to ``table`` under its batch number: a batch repeated after a failure replaces itself."""
-    writer = df.writeStream.queryName(table.contract.name).outputMode(output_mode)
+    """Write every micro-batch to ``table`` under its batch number: a batch repeated after a failure replaces itself.
+
+    Columns that the table does not keep are left out here, where the plan can still drop them from the state before it.
+    """
+    writer = df.select(*table.contract.columns).writeStream.queryName(table.contract.name).outputMode(output_mode)
     writer = writer.option("checkpointLocation", table.checkpoint).foreachBatch(table.write_batch)
     return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
 
