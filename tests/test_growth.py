@@ -1,5 +1,6 @@
 """What grows with the tables: bytes shuffled by roll-ups in runs, state of streamed totals, files of a batch."""
 
+import os
 from types import SimpleNamespace
 
 from compare import plan, rows
@@ -119,3 +120,13 @@ def test_a_stream_keeps_no_columns_that_its_table_lacks(spark, tmp_path):
 def test_rocksdb_rows_are_not_counted(spark):
     session = streaming_session(spark, rocksdb=True)
     assert session.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
+
+
+def test_every_batch_has_files_for_all_cores(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    _, root, messages = registry._message_stream(spark, events(spark, str(tmp_path)), "files", batches=4)
+    assert sum(name.endswith(".parquet") for name in os.listdir(f"{root}/messages")) == 4 * cores
+    sizes = []
+    writer = messages.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count()))
+    queries.await_all([writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()])
+    assert len(sizes) == 4 and min(sizes) > 0 and sum(sizes) == 500

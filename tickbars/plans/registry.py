@@ -434,13 +434,13 @@ def price_history_by_day(spark, sf_dir):
 def _message_stream(
     spark: SparkSession, sf_dir: str, label: str, batches: int = 1
 ) -> tuple[SparkSession, str, DataFrame]:
-    """The messages as a stream; for several batches they are written as that many files and read one file at a time."""
+    """The messages as a stream; for several batches as that many times as many files as the cluster has cores, so that
+    each batch is read by all of them."""
     root = work_dir(spark, label)
-    ticks = _ticks(spark, sf_dir)
-    publish_to_files(ticks.repartition(batches) if batches > 1 else ticks, f"{root}/messages")
+    ticks, files = _ticks(spark, sf_dir), spark.sparkContext.defaultParallelism
+    publish_to_files(ticks.repartition(batches * files) if batches > 1 else ticks, f"{root}/messages")
     session = streaming_session(spark)
-    one_by_one = 1 if batches > 1 else None
-    return session, root, read_message_files_stream(session, f"{root}/messages", files_per_batch=one_by_one)
+    return session, root, read_message_files_stream(session, f"{root}/messages", files_per_batch=files if batches > 1 else None)
 
 
 def _run(spark: SparkSession, sf_dir: str, name: str, batches: int = 1) -> KeyedTable:
